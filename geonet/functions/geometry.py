@@ -26,9 +26,13 @@ def let(df: DataFrame, **columns: str) -> DataFrame:
     return df.selectExpr("*", f"inline(array(struct({row})))")
 
 
+def rounded(value: Column | str, digits: int) -> Column:
+    """Rounded value, never a negative zero."""
+    return F.round(_c(value), digits) + F.lit(0.0)
+
+
 def r6(value: Column | str) -> Column:
-    """Six decimals, never a negative zero."""
-    return F.round(_c(value), 6) + F.lit(0.0)
+    return rounded(value, 6)
 
 
 def snap_key(value: Column | str, tol: float) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from geonet.functions.geometry import add_capsule_interval, length
 from geonet.operators.grid import box_pairs, with_box
 from geonet.operators.intervals import union_measure
+from geonet.session import settle
 
 CELL = 100.0
 MAX_REST = 0.36
@@ -57,7 +58,8 @@ def covered_length(lines: DataFrame, others: DataFrame, keys: Sequence[str] = ("
     ``rest`` is null for a line without length.
     """
     keys = list(keys)
-    found = union_measure(near_intervals(lines, others, keys, cell), [*keys, "seg_idx", "cpart", "plen"], "t0", "t1")
+    near = settle(near_intervals(lines, others, keys, cell), "near")
+    found = union_measure(near, [*keys, "seg_idx", "cpart", "plen"], "t0", "t1")
     whole = lines.select(*keys, length().alias("length"), F.lit(0.0).alias("covered"))
     part = found.select(*keys, F.lit(0.0).alias("length"), (F.col("measure") * F.col("plen")).alias("covered"))
     d = whole.unionByName(part).groupBy(*keys).agg(F.sum("length").alias("length"), F.sum("covered").alias("covered"))

@@ -23,21 +23,22 @@ def _sub(value: str, origin: str, cell: float) -> str:
     return f"CAST(greatest(0, least(_split - 1, floor(({value} - {origin}*{cell}D) * _split / {cell}D))) AS INT)"
 
 
-def _refine(df: DataFrame, box: Sequence[str], hot: DataFrame, cell: float) -> DataFrame:
+def _refine(df: DataFrame, box: Sequence[str], hot: DataFrame, on: Sequence[str], cell: float) -> DataFrame:
     """Divide the hot cells into split x split sub-cells; other cells stay whole."""
     minx, miny, maxx, maxy = box
-    d = df.join(hot, ["_cx", "_cy"], "left").selectExpr(*df.columns, "coalesce(_split, 1) AS _split")
+    d = df.join(hot, list(on), "left").selectExpr(*df.columns, "coalesce(_split, 1) AS _split")
     d = d.selectExpr("*", f"explode(sequence({_sub(minx, '_cx', cell)}, {_sub(maxx, '_cx', cell)})) AS _sx")
     return d.selectExpr("*", f"explode(sequence({_sub(miny, '_cy', cell)}, {_sub(maxy, '_cy', cell)})) AS _sy")
 
 
 def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[str], cell: float,
-              extra: str | None = None, hot_rows: int | None = HOT_CELL_ROWS) -> DataFrame:
+              extra: str | None = None, hot_rows: int | None = HOT_CELL_ROWS, by: Sequence[str] = ()) -> DataFrame:
     """All pairs whose boxes (minx, miny, maxx, maxy columns) meet, each pair once.
 
     Boxes are exploded to the cells they touch and equi-joined on the cell.  A pair is kept only
     in the cell that holds the larger of the two lower-left corners, so no ``distinct`` follows.
-    Column names of ``a`` and ``b`` must differ.  ``extra`` is a further SQL condition.
+    Column names of ``a`` and ``b`` must differ, except for the columns ``by``, which must be equal.
+    ``extra`` is a further SQL condition.
 
     Cells above ``hot_rows`` rows on either side are divided further (the list of these cells is
     bounded, see ``skew.MAX_HOT``, hence the broadcast), so that a dense spot neither lands in one
@@ -45,7 +46,7 @@ def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[
     """
     ca, cb = _cells(a, a_box, cell), _cells(b, b_box, cell)
     gx, gy = f"greatest({a_box[0]}, {b_box[0]})", f"greatest({a_box[1]}, {b_box[1]})"
-    on = ["_cx", "_cy"]
+    on = ["_cx", "_cy", *by]
     tests = [f"{a_box[0]} <= {b_box[2]}", f"{b_box[0]} <= {a_box[2]}", f"{a_box[1]} <= {b_box[3]}",
              f"{b_box[1]} <= {a_box[3]}", f"floor({gx}/{cell}D) = _cx", f"floor({gy}/{cell}D) = _cy"]
     if hot_rows is not None:
@@ -56,12 +57,12 @@ def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[
             .orderBy(F.desc("_n")).limit(MAX_HOT)
         )
         hot = F.broadcast(counts.selectExpr(*on, f"CAST(least(ceil(sqrt(4D * _n / {hot_rows})), {MAX_SPLIT}) AS INT) AS _split"))
-        ca, cb = _refine(ca, a_box, hot, cell), _refine(cb, b_box, hot, cell).drop("_split")
+        ca, cb = _refine(ca, a_box, hot, on, cell), _refine(cb, b_box, hot, on, cell).drop("_split")
         on = [*on, "_sx", "_sy"]
         tests += [f"_sx = {_sub(gx, '_cx', cell)}", f"_sy = {_sub(gy, '_cy', cell)}"]
     if extra:
         tests.append(extra)
-    return ca.join(cb, on).filter(" AND ".join(tests)).select(*a.columns, *b.columns)
+    return ca.join(cb, on).filter(" AND ".join(tests)).select(*a.columns, *[c for c in b.columns if c not in by])
 
 
 def with_box(df: DataFrame, prefix: str = "", grow: str | float = 0.0,

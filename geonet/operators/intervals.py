@@ -56,7 +56,8 @@ def dedupe_splits(df: DataFrame, keys: Sequence[str], t: str = "t", eps: float =
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in (*keys, t)]
-    once = df.groupBy(*keys, t).agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns)
+    once = df.groupBy(*keys, t)
+    once = once.agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns) if rest else df.distinct()
     d = ordered_scan(once, keys, [t], F.floor(F.col(t) * UNIT_BLOCKS), previous={"_before": t})
     gap = F.col(t) - F.col("_before")
     gap = gap if scale is None else gap * scale

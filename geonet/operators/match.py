@@ -9,6 +9,7 @@ from geonet.operators.cover import CELL, COORDS, cut_long
 from geonet.operators.grid import box_pairs, with_box
 from geonet.operators.intervals import union_measure
 from geonet.operators.skew import salted_join
+from geonet.session import settle
 
 TOLERANCE = 2.0
 MIN_STREET = 0.6
@@ -25,11 +26,12 @@ def collapse_copies(segs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     sig = segs.groupBy(key).agg(
         F.bit_xor(F.xxhash64(*row)).alias("_h1"), F.bit_xor(F.xxhash64(F.lit("b"), *row)).alias("_h2"),
         F.count(F.lit(1)).alias("_n"))
+    sig = settle(sig, "signatures")
     same = ["_h1", "_h2", "_n"]
     reps = sig.groupBy(*same).agg(F.min(key).alias("rep"))
     groups = salted_join(sig, reps, same).select(key, "rep")
     keep = reps.select(F.col("rep").alias(key))
-    return segs.join(keep, key, "left_semi"), groups
+    return settle(segs.join(keep, key, "left_semi"), "distinct"), groups
 
 
 def line_stats(segs: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -78,7 +80,7 @@ def match_lines(oneways: DataFrame, streets: DataFrame, tol: float = TOLERANCE,
                  F.col(side + "t0").alias("t0"), F.col(side + "t1").alias("t1"))
         for side in ("o", "s")])
     ivs = near.select("oneway_id", "street_id", F.explode(sides).alias("v")).select("oneway_id", "street_id", "v.*")
-    ivs = ivs.filter(F.col("t0") <= F.col("t1"))
+    ivs = settle(ivs.filter(F.col("t0") <= F.col("t1")), "overlaps")
     got = union_measure(ivs, ["oneway_id", "street_id", "side", "seg", "part", "plen"], "t0", "t1")
     on = lambda side: F.sum(F.when(F.col("side") == side, F.col("measure") * F.col("plen")).otherwise(0.0))
     pairs = got.groupBy("oneway_id", "street_id").agg(on("o").alias("o_cov"), on("s").alias("overlap"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from geonet.operators.intervals import UNIT_BLOCKS
 from geonet.operators.scan import index_block, next_row, ordered_scan
 from geonet.operators.skew import salted_join
+from geonet.session import settle
 
 XY = "array<struct<x:double,y:double>>"
 
@@ -122,6 +123,7 @@ def cut_segments(segs: DataFrame, splits: DataFrame, keys: Sequence[str]) -> Dat
     d = ends.unionByName(cuts, allowMissingColumns=True)
     d = ordered_scan(d, on, ["t", "_cut"], F.floor(F.col("t") * UNIT_BLOCKS), sums={"before": F.col("_cut")},
                      previous={"_pt": "t", "_px": "x", "_py": "y"})
+    d = settle(d, "cuts")
     # The segment's own columns sit on its end row; whole segments need nothing more.
     whole = d.filter("_cut = 0 AND before = 0").selectExpr(
         *on, "before", "0D AS t0", "t AS t1", "_seg.x1 AS x1", "_seg.y1 AS y1", "x AS x2", "y AS y2", *[f"_seg.{c} AS {c}" for c in rest])

@@ -55,6 +55,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several later steps read, so that none of them computes it again."""
+    return Scratch(df.sparkSession, name).cut(df, name)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch tables; frames built on them can no longer be read."""
+    drop_path(spark, f"{scratch_root(spark).rstrip('/')}/geonet")
+
+
 class Scratch:
     """Written tables of one iterative job.
 
