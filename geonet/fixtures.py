@@ -91,7 +91,7 @@ SELECT CAST(floor(o_orderkey / 8) AS BIGINT) AS line_id, 0 AS part, CAST(o_order
 FROM orders""",
     "fx_tracks": """
 SELECT CAST(floor(event_id / 64) AS BIGINT) AS line_id, CAST(event_id % 64 AS INT) AS idx,
-  CAST(event_id % 64 * 10 + floor(event_id / 64) * 7 AS DOUBLE) AS x, round(value / 4, 2) AS y
+  CAST(event_id % 64 * 10 + floor(event_id / 64) * 7 AS DOUBLE) AS x, value / 4 AS y
 FROM events""",
 }
 BASE = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -111,4 +111,6 @@ def with_layers(names: str, body: str) -> str:
     """Query text with the named fixtures as common table expressions."""
     ctes = ",\n".join(f"{n} AS ({FIXTURES[n].strip()})" for n in names.split())
     body = body.strip()
+    if body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     return f"WITH {ctes},\n{body[4:].lstrip()}" if body[:5].upper() == "WITH " else f"WITH {ctes}\n{body}"

@@ -43,6 +43,7 @@ def dissolve_lines(segs: DataFrame, attrs: DataFrame, same: Sequence[str], tol:
     merged = attrs.join(groups, key).groupBy("component").agg(
         F.expr(f"min_by(struct({row}), {rank}) AS a"), F.expr("count(1) AS n_lines")).select("component", "n_lines", "a.*")
     geometry = salted_join(segs.select(key, "seg_idx", "x1", "y1", "x2", "y2"), groups, [key])
-    lines = geometry.groupBy("component", F.expr("least(struct(x1, y1), struct(x2, y2)) AS p"), F.expr("greatest(struct(x1, y1), struct(x2, y2)) AS q")).agg(
+    a, b = "struct(x1 AS x, y1 AS y)", "struct(x2 AS x, y2 AS y)"
+    lines = geometry.groupBy("component", F.expr(f"least({a}, {b}) AS p"), F.expr(f"greatest({a}, {b}) AS q")).agg(
         F.expr(f"min(struct({key}, seg_idx, x1, y1, x2, y2)) AS s")).select("component", "s.*")
     return merged, lines

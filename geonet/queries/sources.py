@@ -1 +1,146 @@
+"""Files, manifests, checks, summaries and tiles, all on data derived from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from geonet.fixtures import layer, with_layers
+from geonet.functions import attributes as at
+from geonet.operators.vertices import feature_segments
+from geonet.queries.attributes import osm_tags
+from geonet.session import scratch_path
+from geonet.sources import geojson, manifest, tiles
+
 QUERIES: dict = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(fn):
+        QUERIES[name] = (fn, sql)
+        return fn
+    return add
+
+
+def street_features(spark, sf) -> DataFrame:
+    """Streets as features with coordinates moved off the 6-decimal grid."""
+    pt = lambda x, y: f"struct({x} + street_id / 7 AS x, {y} AS y)"
+    return layer(spark, sf, "fx_streets").selectExpr(
+        "street_id AS feature_id", "map('road_type', road_type, 'name', street_name) AS props", "'LineString' AS geom_type",
+        f"array(array({pt('x1', 'y1')}, {pt('x2', 'y2')})) AS parts")
+
+
+@query("read_features", with_layers("fx_streets", """
+SELECT CAST(street_id AS VARCHAR) AS feature_id, road_type, street_name AS name, round(x1 + street_id / 7, 6) + 0.0 AS x1, y1, round(x2 + street_id / 7, 6) + 0.0 AS x2, y2 FROM fx_streets"""))
+def _(spark, sf):
+    """Streets written as GeoJSON lines and read back as segments."""
+    path = scratch_path(spark, "streets")
+    geojson.write_features(street_features(spark, sf), path)
+    d = feature_segments(geojson.read_features(spark, path, "streets", by_line=True))
+    return d.selectExpr("feature_id", "props['road_type'] AS road_type", "props['name'] AS name", "x1", "y1", "x2", "y2")
+
+
+@query("write_features", with_layers("fx_points", """
+SELECT concat('{"type":"Feature","id":"', point_id, '","tippecanoe":{"minzoom":14},"properties":{"ANZAHL":"', anzahl, '"},"geometry":{"type":"Point","coordinates":[',
+  CAST(x AS BIGINT), '.0,', CAST(y AS BIGINT), '.0]}}') AS value FROM fx_points"""))
+def _(spark, sf):
+    """Parking points as written GeoJSON lines."""
+    d = layer(spark, sf, "fx_points").selectExpr("point_id AS feature_id", "map('ANZAHL', CAST(anzahl AS STRING)) AS props",
+                                                 "'Point' AS geom_type", "array(array(struct(x, y))) AS parts")
+    path = scratch_path(spark, "parking")
+    geojson.write_features(d, path, extra=F.lit(f'"tippecanoe":{{"minzoom":{at.PARKING_MIN_ZOOM}}}'))
+    return spark.read.text(path)
+
+
+@query("read_osm_elements", with_layers("fx_osm", "SELECT osm_id, osm_type, highway, amenity, x, y FROM fx_osm"))
+def _(spark, sf):
+    """OSM elements written one per line and read back."""
+    path = scratch_path(spark, "osm")
+    pt = "struct(y AS lat, x AS lon)"
+    d = osm_tags(spark, sf).selectExpr(
+        "osm_type AS type", "osm_id AS id", "tags", "CASE WHEN osm_type = 'node' THEN y END AS lat", "CASE WHEN osm_type = 'node' THEN x END AS lon",
+        f"CASE WHEN osm_type = 'way' THEN array({pt}, struct(y + 10 AS lat, x AS lon)) END AS geometry")
+    geojson.write_osm(d, path)
+    e = geojson.read_osm_elements(spark, path, by_line=True)
+    return e.selectExpr("osm_id", "osm_type", "tags['highway'] AS highway", "tags['amenity'] AS amenity", "parts[0][0].x AS x", "parts[0][0].y AS y")
+
+
+@query("feature_files", with_layers("fx_manifest_curr", """
+SELECT name FROM fx_manifest_curr WHERE name LIKE '%.geojson' AND lower(name) NOT LIKE '%example%' AND lower(name) NOT LIKE '%rendertest%'"""))
+def _(spark, sf):
+    return geojson.data_files(layer(spark, sf, "fx_manifest_curr")).select("name")
+
+
+def documents_to_check(spark, sf) -> DataFrame:
+    """One GeoJSON document per event; the event type decides what is wrong with it."""
+    feature = '\'{"type":"Feature","properties":{},"geometry":{"type":"Point","coordinates":[1,\', event_id, \']}}\''
+    return spark.read.parquet(f"{sf}/events.parquet").selectExpr("event_id", f"""CASE event_type
+      WHEN 'view' THEN concat('{{"type":"FeatureCollection","features":[', {feature}, ']}}')
+      WHEN 'click' THEN '  '
+      WHEN 'error' THEN concat('{{"type":"FeatureCollection", ', event_id)
+      WHEN 'signup' THEN '{{"type":"FeatureCollection"}}'
+      WHEN 'purchase' THEN concat('{{"type":"FeatureCollection","features":[', {feature}, ',{{"type":"Feature","properties":{{}},"geometry":null}}]}}')
+      ELSE '{{"features":[]}}' END AS text""")
+
+
+@query("validate_features", """
+SELECT event_id, CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN 'empty' WHEN 'error' THEN 'invalid json' WHEN 'signup' THEN 'no features'
+  WHEN 'purchase' THEN 'feature without geometry' ELSE 'no type' END AS reason FROM events""")
+def _(spark, sf):
+    return geojson.check_documents(documents_to_check(spark, sf)).select("event_id", "reason")
+
+
+MANIFEST = """curr AS (SELECT * FROM fx_manifest_curr WHERE name LIKE '%.geojson' AND lower(name) NOT LIKE '%example%' AND lower(name) NOT LIKE '%rendertest%'),
+diff AS (SELECT coalesce(p.name, c.name) AS name, CASE WHEN p.name IS NULL THEN 'new' WHEN c.name IS NULL THEN 'removed' WHEN p.etag = c.etag THEN 'unchanged' ELSE 'changed' END AS status
+  FROM fx_manifest_prev p FULL JOIN curr c ON p.name = c.name)"""
+
+
+def file_diff(spark, sf) -> DataFrame:
+    return manifest.manifest_diff(layer(spark, sf, "fx_manifest_prev"), geojson.data_files(layer(spark, sf, "fx_manifest_curr")))
+
+
+@query("manifest_diff", with_layers("fx_manifest_prev fx_manifest_curr", f"WITH {MANIFEST} SELECT name, status FROM diff"))
+def _(spark, sf):
+    return file_diff(spark, sf)
+
+
+@query("removed_files", with_layers("fx_manifest_prev fx_manifest_curr", f"WITH {MANIFEST} SELECT name FROM fx_manifest_prev EXCEPT SELECT name FROM curr"))
+def _(spark, sf):
+    return manifest.removed_files(layer(spark, sf, "fx_manifest_prev"), geojson.data_files(layer(spark, sf, "fx_manifest_curr")))
+
+
+@query("sync_decision", with_layers("fx_manifest_prev fx_manifest_curr", f"""
+WITH {MANIFEST} SELECT count(*) FILTER (status = 'new') AS n_new, count(*) FILTER (status = 'changed') AS n_changed, count(*) FILTER (status = 'unchanged') AS n_unchanged,
+  count(*) FILTER (status = 'removed') AS n_removed, bool_or(status <> 'unchanged') AS rebuild FROM diff"""))
+def _(spark, sf):
+    return manifest.rebuild_needed(file_diff(spark, sf), published=True)
+
+
+@query("build_summary", with_layers("fx_streets fx_points", """
+SELECT (SELECT count(*) FROM fx_streets) AS streets, (SELECT count(*) FROM fx_points) AS parking, 15.0 AS street_buffer, '25,45,60,70' AS radii"""))
+def _(spark, sf):
+    counts = {"streets": layer(spark, sf, "fx_streets"), "parking": layer(spark, sf, "fx_points")}
+    return manifest.build_summary(counts, {"street_buffer": 15.0, "radii": "25,45,60,70"})
+
+
+TILE = f"""z AS (SELECT CAST(z AS INTEGER) AS z, pow(2, z) / {2 * tiles.HALF!r} AS k FROM range(12, 17) t(z)),
+tiled AS (SELECT street_id, z, unnest(range(CAST(floor((x1 + {tiles.HALF!r}) * k) AS BIGINT), CAST(floor((x2 + {tiles.HALF!r}) * k) AS BIGINT) + 1)) AS tx, r0, r1 FROM (
+  SELECT *, CAST(floor(({tiles.HALF!r} - y2) * k) AS BIGINT) AS r0, CAST(floor(({tiles.HALF!r} - y1) * k) AS BIGINT) AS r1 FROM fx_streets, z WHERE z >= CASE road_type WHEN 'footway' THEN 14 WHEN 'tertiary_link' THEN 30 ELSE 0 END)),
+tile AS (SELECT street_id, z, tx, unnest(range(r0, r1 + 1)) AS ty FROM tiled)"""
+
+
+def street_tiles(spark, sf) -> DataFrame:
+    d = layer(spark, sf, "fx_streets").withColumn("mz", at.minzoom("road_type"))
+    d = d.selectExpr("street_id", "mz", "x1 AS minx", "y1 AS miny", "x2 AS maxx", "y2 AS maxy")
+    return tiles.tile_features(d, 12, 16, "mz").select("street_id", "z", "tx", "ty")
+
+
+@query("tile_features", with_layers("fx_streets", f"WITH {TILE} SELECT * FROM tile"))
+def _(spark, sf):
+    return street_tiles(spark, sf)
+
+
+@query("tile_feature_cap", with_layers("fx_streets", f"""
+WITH {TILE} SELECT street_id, z, tx, ty FROM tile QUALIFY row_number() OVER (PARTITION BY z, tx, ty ORDER BY street_id) <= 20"""))
+def _(spark, sf):
+    """The 20 first streets of each tile."""
+    return tiles.tile_feature_cap(street_tiles(spark, sf), 20, ["street_id"])
