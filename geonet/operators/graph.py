@@ -39,11 +39,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         both = e.unionByName(e.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.expr("least(min(v), min(u)) AS m"))
         large = salted_join(both.filter("v > u"), low, ["u"]).selectExpr("v AS u", "m AS v").distinct()
-        e = scratch.cut(large, "large")
-        low = e.groupBy("u").agg(F.expr("min(v) AS m"))
-        small = salted_join(e, low, ["u"]).selectExpr("inline(array(struct(v AS a, m AS b), struct(u AS a, m AS b)))")
-        e = scratch.cut(small.filter("a <> b").selectExpr("a AS u", "b AS v").distinct(), "edges")
-        state = e.agg(F.expr("count(1)"), F.expr("coalesce(bit_xor(xxhash64(u, v)), 0)")).first()
+        low = large.groupBy("u").agg(F.expr("min(v) AS m"))
+        small = salted_join(large, low, ["u"]).selectExpr("inline(array(struct(v AS a, m AS b), struct(u AS a, m AS b)))")
+        small = small.filter("a <> b").selectExpr("a AS u", "b AS v").distinct()
+        e, state = scratch.cut_watched(small, "edges", n="count(1)", x="bit_xor(xxhash64(u, v))")
         if state == seen:
             break
         seen = state
@@ -70,8 +69,8 @@ def network_distance(edges: DataFrame, sources: DataFrame, cutoff: float | None
         step = step.groupBy("node").agg(F.min("d").alias("nd"))
         merged = dist.select("node", "d").join(step, "node", "full_outer")
         merged = merged.selectExpr("node", "least(d, nd) AS d", "nd IS NOT NULL AND (d IS NULL OR nd < d) AS fresh")
-        dist = scratch.cut(merged, "dist")
-        if dist.filter("fresh").isEmpty():
+        dist, state = scratch.cut_watched(merged, "dist", fresh="count_if(fresh)")
+        if not state["fresh"]:
             return dist.select("node", "d")
     raise RuntimeError("distances did not settle")
 

@@ -32,7 +32,7 @@ def _refine(df: DataFrame, box: Sequence[str], hot: DataFrame, on: Sequence[str]
 
 
 def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[str], cell: float,
-              extra: str | None = None, hot_rows: int | None = HOT_CELL_ROWS, by: Sequence[str] = ()) -> DataFrame:
+              extra: str | None = None, hot_rows: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """All pairs whose boxes (minx, miny, maxx, maxy columns) meet, each pair once.
 
     Boxes are exploded to the cells they touch and equi-joined on the cell.  A pair is kept only
@@ -49,17 +49,17 @@ def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[
     on = ["_cx", "_cy", *by]
     tests = [f"{a_box[0]} <= {b_box[2]}", f"{b_box[0]} <= {a_box[2]}", f"{a_box[1]} <= {b_box[3]}",
              f"{b_box[1]} <= {a_box[3]}", f"floor({gx}/{cell}D) = _cx", f"floor({gy}/{cell}D) = _cy"]
-    if hot_rows is not None:
-        counts = (
-            ca.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-            .unionByName(cb.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-            .groupBy(*on).agg(F.max("_n").alias("_n")).filter(F.col("_n") > hot_rows)
-            .orderBy(F.desc("_n")).limit(MAX_HOT)
-        )
-        hot = F.broadcast(counts.selectExpr(*on, f"CAST(least(ceil(sqrt(4D * _n / {hot_rows})), {MAX_SPLIT}) AS INT) AS _split"))
-        ca, cb = _refine(ca, a_box, hot, on, cell), _refine(cb, b_box, hot, on, cell).drop("_split")
-        on = [*on, "_sx", "_sy"]
-        tests += [f"_sx = {_sub(gx, '_cx', cell)}", f"_sy = {_sub(gy, '_cy', cell)}"]
+    hot_rows = hot_rows or HOT_CELL_ROWS
+    counts = (
+        ca.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        .unionByName(cb.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+        .groupBy(*on).agg(F.max("_n").alias("_n")).filter(F.col("_n") > hot_rows)
+        .orderBy(F.desc("_n")).limit(MAX_HOT)
+    )
+    hot = F.broadcast(counts.selectExpr(*on, f"CAST(least(ceil(sqrt(4D * _n / {hot_rows})), {MAX_SPLIT}) AS INT) AS _split"))
+    ca, cb = _refine(ca, a_box, hot, on, cell), _refine(cb, b_box, hot, on, cell).drop("_split")
+    on = [*on, "_sx", "_sy"]
+    tests += [f"_sx = {_sub(gx, '_cx', cell)}", f"_sy = {_sub(gy, '_cy', cell)}"]
     if extra:
         tests.append(extra)
     return ca.join(cb, on).filter(" AND ".join(tests)).select(*a.columns, *[c for c in b.columns if c not in by])

@@ -14,18 +14,19 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 BLOCK_ROWS = 4_096
 
 
-def index_block(idx: str | Column, rows: int = BLOCK_ROWS) -> Column:
+def index_block(idx: str, rows: int | None = None) -> Column:
     """Block number of a dense integer position."""
-    return F.floor(F.col(idx) / rows if isinstance(idx, str) else idx / rows)
+    return F.floor(F.col(idx) / (rows or BLOCK_ROWS))
 
 
 def next_row(df: DataFrame, keys: Sequence[str], idx: str, cols: Sequence[str],
-             prefix: str = "next_", rows: int = BLOCK_ROWS) -> DataFrame:
+             prefix: str = "next_", rows: int | None = None) -> DataFrame:
     """Columns of the row at ``idx + 1`` for groups numbered 0, 1, 2, ... without gaps.
 
     The first row of a block is also sent to the block before it, so one shuffle with bounded
     window partitions is enough.  The last row of a group gets nulls.
     """
+    rows = rows or BLOCK_ROWS
     home = index_block(idx, rows)
     sent = F.when((F.col(idx) > 0) & (F.col(idx) % rows == 0), F.array(home, home - 1)).otherwise(F.array(home))
     w = W.partitionBy(*keys, "_blk").orderBy(idx)

@@ -17,8 +17,9 @@ MAX_HOT = 10_000
 MAX_SALTS = 4_096
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Keys above ``hot_rows`` rows with the number of salts to spread each over."""
+    hot_rows = hot_rows or HOT_ROWS
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
     top = counted.orderBy(F.desc("_rows")).limit(MAX_HOT)
     salts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MAX_SALTS)).cast("int")
@@ -26,7 +27,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def salted_join(many: DataFrame, few: DataFrame, keys: Sequence[str], how: str = "inner",
-                hot: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Equi-join where ``many`` may hold hot keys and ``few`` has few rows per key.
 
     ``hot`` can pass in ``hot_keys(many, keys)`` computed once for several joins.

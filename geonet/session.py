@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -88,3 +89,9 @@ class Scratch:
             drop_path(self.spark, previous)
         self.current[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def cut_watched(self, df: DataFrame, name: str, **watch: str) -> tuple[DataFrame, dict]:
+        """``cut`` that also returns aggregates (SQL expressions) of the rows as they are written."""
+        seen = Observation()
+        out = self.cut(df.observe(seen, *[F.expr(e).alias(n) for n, e in watch.items()]), name)
+        return out, seen.get
