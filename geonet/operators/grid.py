@@ -65,6 +65,31 @@ def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[
     return ca.join(cb, on).filter(" AND ".join(tests)).select(*a.columns, *[c for c in b.columns if c not in by])
 
 
+def any_box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[str], cell: float) -> DataFrame:
+    """``box_pairs`` for boxes of any size, from a house to a continent.
+
+    A box lives on the grid level whose cells are at least its size, hence in at most four cells, and is
+    also entered on the coarser levels in use.  A pair meets on the coarser of its two levels.
+    """
+    def home(box: Sequence[str]) -> str:
+        minx, miny, maxx, maxy = box
+        return f"CAST(greatest(0, ceil(log2(greatest({maxx} - {minx}, {maxy} - {miny}, {cell}D) / {cell}D))) AS INT)"
+
+    top = max(d.agg(F.expr(f"max({home(box)})")).first()[0] or 0 for d, box in ((a, a_box), (b, b_box)))
+
+    def entered(df: DataFrame, box: Sequence[str], flag: str) -> DataFrame:
+        minx, miny, maxx, maxy = box
+        d = df.selectExpr("*", f"{home(box)} AS _home").selectExpr("*", f"explode(sequence(_home, {top})) AS _l")
+        d = d.selectExpr(*df.columns, "_l", f"_l = _home AS {flag}", f"{cell}D * shiftleft(1L, _l) AS {flag}s")
+        d = d.selectExpr("*", f"explode(sequence(floor({minx}/{flag}s), floor({maxx}/{flag}s))) AS _cx")
+        return d.selectExpr("*", f"explode(sequence(floor({miny}/{flag}s), floor({maxy}/{flag}s))) AS _cy")
+
+    d = entered(a, a_box, "_ah").join(entered(b, b_box, "_bh"), ["_l", "_cx", "_cy"]).filter("_ah OR _bh")
+    tests = [f"{a_box[0]} <= {b_box[2]}", f"{b_box[0]} <= {a_box[2]}", f"{a_box[1]} <= {b_box[3]}", f"{b_box[1]} <= {a_box[3]}",
+             f"floor(greatest({a_box[0]}, {b_box[0]}) / _ahs) = _cx", f"floor(greatest({a_box[1]}, {b_box[1]}) / _ahs) = _cy"]
+    return d.filter(" AND ".join(tests)).select(*a.columns, *b.columns)
+
+
 def with_box(df: DataFrame, prefix: str = "", grow: str | float = 0.0,
              names: Sequence[str] = ("x1", "y1", "x2", "y2")) -> tuple[DataFrame, list[str]]:
     """Add the box of a segment, grown on all sides, and return the names of its columns."""

@@ -4,17 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from geonet.operators.scan import ordered_scan
 
 UNIT_BLOCKS = 256  # blocks of a [0, 1] axis
 
 
+def _compact(df: DataFrame, keys: Sequence[str], lo: str, hi: str, width: float) -> DataFrame:
+    """Union of the intervals that start in the same block, after equal starts were combined map-side."""
+    d = df.groupBy(*keys, lo).agg(F.max(hi).alias(hi)).withColumn("_blk", F.floor(F.col(lo) / width))
+    w = W.partitionBy(*keys, "_blk").orderBy(lo)
+    d = d.withColumn("_reach", F.max(hi).over(w.rowsBetween(W.unboundedPreceding, -1)))
+    d = d.withColumn("_isle", F.count_if(F.col("_reach").isNull() | (F.col(lo) > F.col("_reach"))).over(w))
+    return d.groupBy(*keys, "_blk", "_isle").agg(F.min(lo).alias(lo), F.max(hi).alias(hi)).drop("_blk", "_isle")
+
+
 def _reach(df: DataFrame, keys: Sequence[str], lo: str, hi: str, width: float) -> DataFrame:
-    """Distinct starts with the furthest end seen before each (``_reach``)."""
-    starts = df.groupBy(*keys, lo).agg(F.max(hi).alias(hi))
-    return ordered_scan(starts, keys, [lo], F.floor(F.col(lo) / width), maxes={"_reach": F.col(hi)})
+    """Compacted intervals with the furthest end seen before each (``_reach``)."""
+    d = _compact(df, keys, lo, hi, width)
+    return ordered_scan(d, keys, [lo], F.floor(F.col(lo) / width), maxes={"_reach": F.col(hi)})
 
 
 def merge_intervals(df: DataFrame, keys: Sequence[str], lo: str, hi: str, width: float = 1 / UNIT_BLOCKS) -> DataFrame:

@@ -31,7 +31,7 @@ def collapse_copies(segs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     reps = sig.groupBy(*same).agg(F.min(key).alias("rep"))
     groups = salted_join(sig, reps, same).select(key, "rep")
     keep = reps.select(F.col("rep").alias(key))
-    return settle(segs.join(keep, key, "left_semi"), "distinct"), groups
+    return settle(salted_join(segs, keep, [key], "left_semi"), "distinct"), groups
 
 
 def line_stats(segs: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -84,7 +84,8 @@ def match_lines(oneways: DataFrame, streets: DataFrame, tol: float = TOLERANCE,
     got = union_measure(ivs, ["oneway_id", "street_id", "side", "seg", "part", "plen"], "t0", "t1")
     on = lambda side: F.sum(F.when(F.col("side") == side, F.col("measure") * F.col("plen")).otherwise(0.0))
     pairs = got.groupBy("oneway_id", "street_id").agg(on("o").alias("o_cov"), on("s").alias("overlap"))
-    pairs = pairs.join(line_stats(oneways, "oneway_id", "o_"), "oneway_id").join(line_stats(streets, "street_id", "s_"), "street_id")
+    pairs = salted_join(settle(pairs, "pairs"), line_stats(oneways, "oneway_id", "o_"), ["oneway_id"])
+    pairs = salted_join(pairs, line_stats(streets, "street_id", "s_"), ["street_id"])
     pairs = pairs.filter((F.col("s_len") > 0) & (F.col("o_len") > 0)).filter(diag_ratio_ok(tol, min_street))
     pairs = pairs.withColumns({"street_share": F.col("overlap") / F.col("s_len"), "oneway_share": F.col("o_cov") / F.col("o_len")})
     enough = (F.round("street_share", 9) >= min_street) & (F.round("oneway_share", 9) >= min_oneway)

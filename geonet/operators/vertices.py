@@ -104,7 +104,7 @@ def insert_vertices(vertices: DataFrame, splits: DataFrame, keys: Sequence[str])
     base = ordered_scan(counts, keys, ["_pos"], index_block("_pos"), sums={"_base": F.col("_n")}).drop("_n")
     own = vertices.selectExpr(*keys, "CAST(idx AS BIGINT) AS _pos", "0L AS _at", "x", "y")
     new = ranked.selectExpr(*keys, "CAST(seg_idx AS BIGINT) AS _pos", "_rank + 1 AS _at", "x", "y")
-    d = own.unionByName(new).join(base, [*keys, "_pos"])
+    d = salted_join(own.unionByName(new), base, [*keys, "_pos"])
     return d.selectExpr(*keys, "CAST(_pos + _base + _at AS INT) AS idx", "x", "y")
 
 
@@ -127,8 +127,7 @@ def cut_segments(segs: DataFrame, splits: DataFrame, keys: Sequence[str]) -> Dat
     # The segment's own columns sit on its end row; whole segments need nothing more.
     whole = d.filter("_cut = 0 AND before = 0").selectExpr(
         *on, "before", "0D AS t0", "t AS t1", "_seg.x1 AS x1", "_seg.y1 AS y1", "x AS x2", "y AS y2", *[f"_seg.{c} AS {c}" for c in rest])
-    parts = d.filter("_cut = 1 OR before > 0").drop("_seg").join(
-        segs.selectExpr(*on, "x1 AS _x1", "y1 AS _y1", *rest), on)
+    parts = salted_join(d.filter("_cut = 1 OR before > 0").drop("_seg"), segs.selectExpr(*on, "x1 AS _x1", "y1 AS _y1", *rest), on)
     parts = parts.selectExpr(*on, "before", "coalesce(_pt, 0D) AS t0", "t AS t1", "coalesce(_px, _x1) AS x1",
                              "coalesce(_py, _y1) AS y1", "x AS x2", "y AS y2", *rest)
     return whole.unionByName(parts)
@@ -146,7 +145,7 @@ def split_lines(segs: DataFrame, splits: DataFrame, keys: Sequence[str] = ("line
     counts = counts.groupBy(*keys, "seg_idx").agg(F.sum("_n").alias("_n"))
     base = ordered_scan(counts, keys, ["seg_idx"], index_block("seg_idx"), sums={"_base": F.col("_n")},
                         maxes={"_from": F.expr("CASE WHEN _n > 0 THEN seg_idx END")}).drop("_n")
-    d = cut_segments(segs, splits, keys).join(base, [*keys, "seg_idx"])
+    d = salted_join(cut_segments(segs, splits, keys), base, [*keys, "seg_idx"])
     return d.selectExpr(*keys, "CAST(_base + before AS INT) AS piece",
                         "CAST(CASE WHEN before > 0 THEN 0 ELSE seg_idx - coalesce(_from, 0) END AS INT) AS seg_idx",
                         "x1", "y1", "x2", "y2", *rest)

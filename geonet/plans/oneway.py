@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from geonet.functions import attributes as at
 from geonet.operators import cover, dissolve, match, noding, vertices
+from geonet.operators.skew import salted_join
 from geonet.session import settle
 
 SYNC_TOLERANCE = 0.5
@@ -60,7 +61,8 @@ def oneway_status(oneways: DataFrame, streets: DataFrame, attrs: DataFrame, mask
     status = cover.classify_coverage(matched, at.lookup_width(masks), ["oneway_id"])
     shown = street_attributes(attrs)
     names = [c for c in shown.columns if c != "street_id"]
-    pieces = status.join(best.selectExpr("oneway_id", "street_id.line_id AS street_id"), "oneway_id").join(shown, "street_id")
+    pieces = settle(status.join(best.selectExpr("oneway_id", "street_id.line_id AS street_id"), "oneway_id"), "status")
+    pieces = salted_join(pieces, shown, ["street_id"])
     pieces = pieces.withColumnRenamed("rge", "RgE").withColumn("ord", F.when(F.col("RgE") == "nein", 0).otherwise(1))
     pieces = settle(pieces.select("oneway_id", "length", "rest", "RgE", "ord", *names), "pieces")
     same = [k for k in at.MERGE_KEYS if k in pieces.columns]

@@ -79,7 +79,7 @@ def seating_from(seats: DataFrame, roads: DataFrame, boundary: DataFrame | None,
     dist = graph.network_distance(edges, starts, cutoff=max(coloring.THRESHOLDS) + longest)
     labels = settle(graph.connected_components(edges), "labels")
     served = labels.join(dist.select("node"), "node", "left_semi").select("component").distinct()
-    reached = labels.join(served, "component", "left_semi").select("node")
+    reached = salted_join(labels, served, ["component"], "left_semi").select("node")
     pieces = settle(coloring.color_edges(edges, dist, reached=reached), "pieces")
     runs = settle(coloring.merge_runs(pieces), "runs")
     run = ["line_id", "color", "run"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from geonet.operators.skew import salted_join
 from geonet.operators.vertices import bbox, explode_lines
 from geonet.sources import geojson, manifest, tiles
 
@@ -21,6 +22,6 @@ def changed_file_sync(prev: DataFrame, curr: DataFrame, features: DataFrame, pub
         return None
     if decision["n_new"] + decision["n_changed"] + decision["n_unchanged"] == 0:
         raise ValueError("no data files to build from")
-    current = features.join(listed.selectExpr("name AS file"), "file", "left_semi")
+    current = salted_join(features, listed.selectExpr("name AS file"), ["file"], "left_semi")
     boxes = bbox(explode_lines(current.select("file", "feature_id", "parts")), ["file", "feature_id"])
     return tiles.tile_features(boxes, *zooms).select("file", "feature_id", "z", "tx", "ty")

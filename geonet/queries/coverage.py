@@ -122,7 +122,7 @@ def area(spark, sf) -> DataFrame:
 @query("inside_points", with_layers("fx_points fx_area", f"WITH {EDGES}, pts AS (SELECT point_id AS id, x AS px, y AS py FROM fx_points), {PARITY.format(name='inn', points='pts')} SELECT id AS point_id, inside FROM inn"))
 def _(spark, sf):
     points = layer(spark, sf, "fx_points").selectExpr("point_id", "x AS px", "y AS py")
-    return points.join(clip.winding(points, area(spark, sf)), ["px", "py"]).selectExpr("point_id", "wind > 0 OR touch AS inside")
+    return clip.inside_points(points, area(spark, sf)).select("point_id", "inside")
 
 
 @query("clip_lines", with_layers("fx_streets fx_area", f"""
@@ -154,4 +154,4 @@ def _(spark, sf):
     rings = layer(spark, sf, "fx_area")
     both = rings.unionByName(rings.selectExpr("area_id + 1000000 AS area_id", "ring", "idx", "x + 150 AS x", "y + 200 AS y"))
     points = layer(spark, sf, "fx_points").selectExpr("point_id", "x AS px", "y AS py")
-    return points.join(clip.winding(points, clip.area_edges(both)).filter("wind > 0 OR touch"), ["px", "py"]).select("point_id")
+    return clip.inside_points(points, clip.area_edges(both)).filter("inside").select("point_id")

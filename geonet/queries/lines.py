@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from geonet.fixtures import layer, with_layers
 from geonet.functions import attributes as at
 from geonet.operators import cover, intervals, match, noding, vertices as vx
-from geonet.operators.grid import box_pairs, with_box
+from geonet.operators.grid import any_box_pairs, box_pairs, with_box
 
 QUERIES: dict = {}
 
@@ -159,7 +159,7 @@ def _(spark, sf):
     """Masks against boundary boxes: overlapping pairs, and whether the boundary's box covers the mask's."""
     a, a_box = with_box(layer(spark, sf, "fx_masks").select("mask_id", "x1", "y1", "x2", "y2"), "m_")
     b = vx.bbox(layer(spark, sf, "fx_area"), ["area_id"])
-    d = box_pairs(a, b, a_box, ["minx", "miny", "maxx", "maxy"], 500.0)
+    d = any_box_pairs(a, b, a_box, ["minx", "miny", "maxx", "maxy"], 100.0)
     return d.selectExpr("mask_id", "area_id", "m_minx >= minx AND m_miny >= miny AND m_maxx <= maxx AND m_maxy <= maxy AS covered")
 
 

@@ -46,5 +46,9 @@ def tile_feature_cap(tiles: DataFrame, k: int | None, order: list[str]) -> DataF
 
 
 def write_tiles(tiles: DataFrame, path: str) -> None:
-    """Write tiles partitioned by zoom and column; rows of one tile lie together."""
-    tiles.repartition("z", "tx").sortWithinPartitions("z", "tx", "ty").write.mode("overwrite").partitionBy("z", "tx").parquet(path)
+    """Write tiles partitioned by zoom and column; rows of one tile lie together.
+
+    Ranges also follow a hash of the row, so that a tile with much of the data is written by many tasks.
+    """
+    order = ["z", "tx", "ty", F.xxhash64(*tiles.columns)]
+    tiles.repartitionByRange(*order).sortWithinPartitions("z", "tx", "ty").write.mode("overwrite").partitionBy("z", "tx").parquet(path)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from geonet.operators import cells, chains, clip, cover, discs, dissolve, graph, intervals, noding, simplify, vertices
-from geonet.operators.grid import box_pairs
+from geonet.operators.grid import any_box_pairs, box_pairs
 from geonet.operators.scan import next_row, ordered_scan
 from geonet.operators.skew import salted_join
 from geonet.sources import geojson, manifest, tiles
@@ -51,6 +51,7 @@ def test_box_pairs(spark, hot):
     got = rows(box_pairs(da, db, ["a0", "a1", "a2", "a3"], ["b0", "b1", "b2", "b3"], 40.0, hot_rows=hot), "i", "j")
     want = sorted((p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
     assert got == want
+    assert rows(any_box_pairs(da, db, ["a0", "a1", "a2", "a3"], ["b0", "b1", "b2", "b3"], 5.0), "i", "j") == want
 
 
 def test_merge_intervals_hot_key(spark, forced_splits):
