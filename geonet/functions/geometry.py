@@ -35,6 +35,14 @@ def r6(value: Column | str) -> Column:
     return rounded(value, 6)
 
 
+def extent_filter(extent: tuple[float, float, float, float], pad: float = 50.0, x: str = "x", y: str = "y") -> Column:
+    """Points in an extent (minx, miny, maxx, maxy) grown by ``pad``; an extent without area is an error."""
+    minx, miny, maxx, maxy = extent
+    if minx == maxx or miny == maxy:
+        raise ValueError(f"extent without area: {extent}")
+    return F.col(x).between(minx - pad, maxx + pad) & F.col(y).between(miny - pad, maxy + pad)
+
+
 def snap_key(value: Column | str, tol: float) -> Column:
     """Grid position of a coordinate, halves rounded up."""
     return F.floor(_c(value) / F.lit(float(tol)) + F.lit(0.5))

@@ -233,10 +233,9 @@ def _(spark, sf):
 
 
 @query("bbox_filter", with_layers("fx_osm", """
-SELECT osm_id FROM fx_osm WHERE x >= 1000 - 50 AND x <= 3000 + 50 AND y >= 500 - 50"""))
+SELECT osm_id FROM fx_osm WHERE x >= 1000 - 50 AND x <= 3000 + 50 AND y >= 500 - 50 AND y <= 16000 + 50"""))
 def _(spark, sf):
-    pad = 50
-    return layer(spark, sf, "fx_osm").filter(f"x >= {1000 - pad} AND x <= {3000 + pad} AND y >= {500 - pad}").select("osm_id")
+    return layer(spark, sf, "fx_osm").filter(geo.extent_filter((1000.0, 500.0, 3000.0, 16000.0))).select("osm_id")
 
 
 @query("min_length", with_layers("fx_oneway", """

@@ -381,3 +381,18 @@ def test_tile_cap_with_hot_tile(spark, forced_splits):
     t = spark.range(60).selectExpr("id", "1 AS z", "CASE WHEN id < 50 THEN 0 ELSE id END AS tx", "0 AS ty")
     assert rows(tiles.tile_feature_cap(t, 4, ["id"]).filter("tx = 0"), "id") == [(0,), (1,), (2,), (3,)]
     assert tiles.tile_feature_cap(t, None, ["id"]).count() == 60
+
+
+@pytest.mark.parametrize("name", ["classify_coverage", "merge_runs", "union_boundary", "clip_lines"])
+def test_same_result_under_any_partitioning(spark, name):
+    from geonet.queries import registry
+
+    seen = []
+    for n in ("1", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            d = registry()[name][0](spark, "/root/testdata/sf0.001")
+            seen.append(sorted(map(str, d.select(*sorted(d.columns)).collect())))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert seen[0] == seen[1]

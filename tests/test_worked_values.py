@@ -192,3 +192,13 @@ def test_merge_lines_chain_and_loop(segments):
 def test_merge_lines_stops_at_junction_and_type(segments):
     star = [(1, 0, 0, 0, 10, 0), (2, 0, 10, 0, 20, 0), (3, 0, 10, 0, 10, 10), (4, 0, 20, 0, 30, 0, "road")]
     assert rows(chains.merge_lines(segments(star)), "chain_id", "line_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
+
+
+def test_merge_lines_with_repeated_points(segments):
+    got = chains.merge_lines(segments([(1, 0, 0, 0, 0, 0), (1, 1, 0, 0, 5, 0), (1, 2, 5, 0, 5, 0), (1, 3, 5, 0, 9, 0), (2, 0, 9, 0, 12, 0)]))
+    assert rows(got, "seg_idx", "x1", "x2") == [(0, 0.0, 5.0), (1, 5.0, 9.0), (2, 9.0, 12.0)]
+
+
+def test_extent_needs_area():
+    with pytest.raises(ValueError):
+        geo.extent_filter((1.0, 2.0, 1.0, 5.0))
