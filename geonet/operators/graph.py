@@ -24,30 +24,28 @@ def build_edges(segs: DataFrame, key: str = "line_id", tol: float = NODE_TOL, ge
         " struct(false AS fwd, b AS src, a AS dst, x2 AS ax, y2 AS ay, x1 AS bx, y1 AS by)))")
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Smallest node of the component per node that has an edge: node, component.
 
     Alternates two rewrites until nothing changes: every larger neighbour of a node is linked to the
     smallest node it knows, then every node and its smaller neighbours likewise.  The edge table never
-    grows; each round is written out, and only its row count and checksum reach the driver.
+    grows; each round is written out, and only its row count and checksum reach the driver.  A node with
+    very many edges is split by the adaptive skew join; its minimum is combined before the shuffle.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "components")
-    e = scratch.cut(edges.selectExpr(f"{src} AS u", f"{dst} AS v").filter("u <> v").distinct(), "edges")
-    seen = None
-    for _ in range(max_rounds):
-        both = e.unionByName(e.selectExpr("v AS u", "u AS v"))
+    scratch = Scratch(edges.sparkSession, "components")
+    pairs = edges.selectExpr(f"greatest({src}, {dst}) AS u", f"least({src}, {dst}) AS v").filter("u <> v").distinct()
+    watch = {"n": "count(1)", "x": "bit_xor(xxhash64(u, v))"}
+    e, seen = scratch.cut_watched(pairs, "edges", **watch)
+    while seen["n"]:
+        both = e.selectExpr("inline(array(struct(u, v), struct(v AS u, u AS v)))")
         low = both.groupBy("u").agg(F.expr("least(min(v), min(u)) AS m"))
-        large = salted_join(both.filter("v > u"), low, ["u"]).selectExpr("v AS u", "m AS v").distinct()
+        large = both.filter("v > u").join(low, "u").selectExpr("v AS u", "m AS v")
         low = large.groupBy("u").agg(F.expr("min(v) AS m"))
-        small = salted_join(large, low, ["u"]).selectExpr("inline(array(struct(v AS a, m AS b), struct(u AS a, m AS b)))")
-        small = small.filter("a <> b").selectExpr("a AS u", "b AS v").distinct()
-        e, state = scratch.cut_watched(small, "edges", n="count(1)", x="bit_xor(xxhash64(u, v))")
+        small = large.join(low, "u").selectExpr("inline(array(struct(v AS u, m AS v), struct(u AS u, m AS v)))")
+        e, state = scratch.cut_watched(small.filter("u <> v").distinct(), "edges", **watch)
         if state == seen:
             break
         seen = state
-    else:
-        raise RuntimeError("components did not settle")
     return e.selectExpr("u AS node", "v AS component").unionByName(e.selectExpr("v AS node", "v AS component").distinct())
 
 
