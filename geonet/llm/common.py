@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -40,3 +41,8 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back."""
     return settle(df, name)
+
+
+def worker_store(name: str) -> dict:
+    """A dict that lives as long as the Python worker, whichever tasks it runs."""
+    return vars(sys.modules[sys.__name__]).setdefault("_geonet_llm", {}).setdefault(name, {})

@@ -82,9 +82,12 @@ def base_of(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - spaces, symbols, dup, repeated_words(words)
 
 
-@F.pandas_udf(BASE)
-def base_features(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([base_of(t) for t in text], columns=[c.split()[0] for c in BASE.split(", ")], dtype="int64")
+def base_features():
+    @F.pandas_udf(BASE)
+    def features(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([base_of(t) for t in text], columns=[c.split()[0] for c in BASE.split(", ")], dtype="int64")
+
+    return features
 
 
 def base_failed() -> Column:
@@ -119,7 +122,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 def base_table(docs: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, stratum and the base features of every document; a null text has none of anything."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
-                    base_features(F.col(text)).alias("b"))
+                    base_features()(F.col(text)).alias("b"))
     return d.select("doc_id", "stratum", "b.*")
 
 

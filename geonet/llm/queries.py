@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from geonet.llm import mixing, quality, topk, url_filter
+from geonet.llm import language, mixing, quality, simhash, token_files, topk, url_filter
 from geonet.llm.common import table
+from geonet.session import scratch_path
+
+#: Vocabulary files of the registered queries.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,10 +52,23 @@ SELECT d.doc_id, d.source, d.size, n.source_size, n.target, CAST(d.size * (n.cop
 FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h"""
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4).select("doc_id", "fingerprint", "component_id")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    return token_files.token_index(token_files.write_tokens(table(spark, sf_dir, "documents"), folder, BYTE_BPE, end_id=2), folder)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return d.drop("stratum")
@@ -58,6 +77,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": (op1_topk, OP1_SQL),
     "op2_mixing": (op2_mixing, OP2_SQL),
+    "op4_simhash": (op4_simhash, None),
+    "op5_token_files": (op5_token_files, None),
     "op6_url_filter": (op6_url_filter, None),
+    "op7_language": (op7_language, None),
     "op9_quality": (op9_quality, None),
 }
