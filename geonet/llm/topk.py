@@ -24,16 +24,9 @@ QUERY_ROWS = 1_024
 SLICE_BITS = 5
 
 
-def whole(vector) -> list[int] | None:
-    """floor(256 * x) per component, None if the vector takes no part."""
-    if vector is None:
-        return None
-    if any(x is None for x in vector):
-        return None
-    x = np.asarray(vector, dtype=np.float64)
-    if not np.isfinite(x).all():
-        return None
-    y = np.floor(x * 256.0)
+def whole(vector) -> np.ndarray:
+    """floor(256 * x) per component."""
+    y = np.floor(np.asarray(vector, dtype=np.float64) * 256.0)
     if len(y) and np.abs(y).max() >= 2.0 ** 62:
         raise OverflowError("a component is too large for whole-number scores")
     return y.astype(np.int64)
@@ -61,12 +54,10 @@ def packed(frames: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
 
     for frame in frames:
         for i, v in zip(frame["vec_id"], frame["vector"]):
-            v = whole(v)
-            if v is not None:
-                ids.append(int(i))
-                values.append(v)
-                if len(ids) == rows:
-                    yield flush()
+            ids.append(int(i))
+            values.append(whole(v))
+            if len(ids) == rows:
+                yield flush()
     if ids:
         yield flush()
 
@@ -183,15 +174,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
            block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k rows of largest whole-number inner product per query.
 
-    A query never finds rows of its own id.  Ties go to the smaller id; repeated rows count each.  Null ids,
-    null vectors and vectors with null or non-finite components take no part, shorter vectors count as
-    filled up with zeros, scores beyond a long raise.  Other columns are not read; empty input gives no rows.
+    A query never finds rows of its own id; an id asked twice is asked once, with the lesser of its vectors.
+    Ties go to the smaller id; repeated rows count each.  Null ids, null
+    vectors and vectors with null or non-finite components take no part, shorter vectors count as filled up
+    with zeros, scores beyond a long raise.  Other columns are not read; empty input gives no rows.
 
     A group of rows meets a group of queries as one cogroup of fixed size, whatever the size of the table, and
     only the k best rows per query and group go on.
     """
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).filter("vec_id IS NOT NULL")
-    asked = queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).filter("vec_id IS NOT NULL")
+    sound = "vec_id IS NOT NULL AND vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL OR isnan(x) OR abs(x) = double('Infinity'))"
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).filter(sound)
+    asked = queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).filter(sound)
+    asked = asked.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     n_rows, n_asked = rows.count(), asked.count()
     row_groups, query_groups = max(1, -(-n_rows // block_rows)), max(1, -(-n_asked // query_rows))
     index = stored(rows.repartition(row_groups).mapInPandas(lambda it: packed(it, block_rows), PACKED), "bit-slices")

@@ -38,7 +38,8 @@ def test_ties_nulls_and_uneven_vectors(spark):
     rows += [(0, [0.5, -0.25]), (500, [-3.0, 2.0, 9.0])]
     got = found(spark, rows, k=5, block_rows=16)
     assert {r[0] for r in got} == {0, 50, 100, 400, 450, 500}
-    assert [r[2] for r in got if r[0] == 100] == [0, 0, 1, 2, 3]
+    assert [r[2] for r in got if r[0] == 100] == [450, 0, 0, 1, 2]
+    assert [r[2] for r in got if r[0] == 0] == [450, 1, 2, 3, 4]
     assert all(r[2] != r[0] for r in got)
 
 
