@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from geonet.llm import language, mixing, quality, simhash, token_files, topk, url_filter
+from geonet.llm import language, line_chunks, mixing, quality, repeats, simhash, token_files, topk, url_filter
 from geonet.llm.common import table
 from geonet.session import scratch_path
 
@@ -69,11 +69,20 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return d.drop("stratum")
 
 
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = line_chunks.report(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_topk": (op1_topk, OP1_SQL),
     "op2_mixing": (op2_mixing, OP2_SQL),
@@ -81,5 +90,7 @@ QUERIES = {
     "op5_token_files": (op5_token_files, None),
     "op6_url_filter": (op6_url_filter, None),
     "op7_language": (op7_language, None),
+    "op8_repeats": (op8_repeats, None),
     "op9_quality": (op9_quality, None),
+    "op10_line_chunks": (op10_line_chunks, None),
 }
