@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from geonet.llm import language, line_chunks, mixing, quality, repeats, simhash, token_files, topk, url_filter
+from geonet.llm import language, line_chunks, mixing, quality, repeats, sentence_pieces, simhash, token_files, topk, url_filter
 from geonet.llm.common import table
 from geonet.session import scratch_path
 
@@ -52,6 +52,10 @@ SELECT d.doc_id, d.source, d.size, n.source_size, n.target, CAST(d.size * (n.cop
 FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source JOIN m ON d.source IS NOT DISTINCT FROM m.source AND d.h = m.h"""
 
 
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4).select("doc_id", "fingerprint", "component_id")
 
@@ -86,6 +90,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": (op1_topk, OP1_SQL),
     "op2_mixing": (op2_mixing, OP2_SQL),
+    "op3_sentence_pieces": (op3_sentence_pieces, None),
     "op4_simhash": (op4_simhash, None),
     "op5_token_files": (op5_token_files, None),
     "op6_url_filter": (op6_url_filter, None),
