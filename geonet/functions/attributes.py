@@ -85,9 +85,9 @@ def drop_attrs(df: DataFrame, names: list[str] = DROPPED_ATTRS) -> DataFrame:
 
 
 def district_code(value: Column | str) -> Column:
-    """District number of an ``AT9nn00`` code; other numbers pass, anything else is null."""
-    v = _c(value)
-    return F.when(v.startswith("AT"), F.substring(v, 4, 2).try_cast("int")).otherwise(v.try_cast("int"))
+    """District number of an ``AT9nn00`` code, as text; null if it has none.  Any other text passes unchanged."""
+    v = _c(value).cast("string")
+    return F.when(v.startswith("AT"), F.substring(v, 4, 2).try_cast("int").cast("string")).otherwise(v)
 
 
 def crop_leading_number(value: Column | str) -> Column:

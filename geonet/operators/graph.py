@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from geonet.functions.geometry import geodesic_length
-from geonet.operators.skew import hot_keys, salted_join
 from geonet.operators.vertices import node_key
 from geonet.session import Scratch
 
@@ -49,28 +50,37 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     return e.selectExpr("u AS node", "v AS component").unionByName(e.selectExpr("v AS node", "v AS component").distinct())
 
 
-def network_distance(edges: DataFrame, sources: DataFrame, cutoff: float | None = None, max_rounds: int = 10_000) -> DataFrame:
+def network_distance(edges: DataFrame, sources: DataFrame, cutoff: float | None = None) -> DataFrame:
     """Shortest distance from the nearest source (node, d0) per reached node: node, d.
 
-    Each round relaxes the edges of the nodes that improved in the round before.  With ``cutoff``,
-    nodes farther than it are left out; distances below it stay exact.
+    Each round relaxes the edges of the nodes that improved in the round before and writes the improved
+    rows alone; it reads the edges and the known distances without moving them while the front is small
+    enough to be sent to them.  Known distances are merged when the rounds since the last merge hold as many
+    rows as it did.  With ``cutoff``, nodes farther than it are left out; distances below it stay exact, and
+    edges longer than it are not followed.
     """
     scratch = Scratch(edges.sparkSession, "distance")
-    short = scratch.cut(edges.groupBy("src", "dst").agg(F.min("len").alias("len")), "short")
-    hot = scratch.cut(hot_keys(short, ["src"]), "hot")
     within = "true" if cutoff is None else f"d <= {float(cutoff)}"
-    start = sources.groupBy("node").agg(F.min("d0").alias("d")).filter(within)
-    dist = scratch.cut(start.withColumn("fresh", F.lit(True)), "dist")
-    for _ in range(max_rounds):
-        front = dist.filter("fresh").selectExpr("node AS src", "d")
-        step = salted_join(short, front, ["src"], hot=hot).selectExpr("dst AS node", "d + len AS d").filter(within)
-        step = step.groupBy("node").agg(F.min("d").alias("nd"))
-        merged = dist.select("node", "d").join(step, "node", "full_outer")
-        merged = merged.selectExpr("node", "least(d, nd) AS d", "nd IS NOT NULL AND (d IS NULL OR nd < d) AS fresh")
-        dist, state = scratch.cut_watched(merged, "dist", fresh="count_if(fresh)")
-        if not state["fresh"]:
-            return dist.select("node", "d")
-    raise RuntimeError("distances did not settle")
+    usable = edges if cutoff is None else edges.filter(F.col("len") <= float(cutoff))
+    short = scratch.cut(usable.groupBy("src", "dst").agg(F.min("len").alias("len")), "short")
+    front, seen = scratch.cut_watched(sources.groupBy("node").agg(F.min("d0").alias("d")).filter(within), "front0", n="count(1)")
+    known, fresh, base, since, rounds = front, [], seen["n"], 0, 0
+    least = lambda d: d.groupBy("node").agg(F.min("d").alias("d"))
+    while seen["n"]:
+        rounds += 1
+        step = short.join(front.withColumnRenamed("node", "src"), "src").selectExpr("dst AS node", "d + len AS nd").filter(within.replace("d ", "nd "))
+        step = step.groupBy("node").agg(F.min("nd").alias("nd"))
+        before = reduce(DataFrame.unionByName, fresh, known)
+        old = least(before.join(step.select("node"), "node", "left_semi"))
+        better = step.join(old, "node", "left").filter("d IS NULL OR nd < d").selectExpr("node", "nd AS d")
+        front, seen = scratch.cut_watched(better, f"front{rounds}", n="count(1)")
+        if seen["n"]:
+            fresh.append(front)
+            since += seen["n"]
+        if since > base or len(fresh) == 16:
+            known = scratch.cut(least(reduce(DataFrame.unionByName, fresh, known)), f"known{rounds}")
+            fresh, base, since = [], base + since, 0
+    return least(reduce(DataFrame.unionByName, fresh, known))
 
 
 def source_offsets(snaps: DataFrame, tol: float = NODE_TOL) -> DataFrame:

@@ -6,10 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from geonet.operators.skew import MAX_HOT
-
 HOT_CELL_ROWS = 100_000
-MAX_SPLIT = 64
 
 
 def _cells(df: DataFrame, box: Sequence[str], cell: float) -> DataFrame:
@@ -40,9 +37,10 @@ def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[
     Column names of ``a`` and ``b`` must differ, except for the columns ``by``, which must be equal.
     ``extra`` is a further SQL condition.
 
-    Cells above ``hot_rows`` rows on either side are divided further (the list of these cells is
-    bounded, see ``skew.MAX_HOT``, hence the broadcast), so that a dense spot neither lands in one
-    task nor is compared all against all.
+    Cells above ``hot_rows`` rows on either side are divided further, so that a dense spot of small boxes
+    is not compared all against all.  Sub-cells stay as wide as the boxes of the cell (by their root mean
+    square), which bounds the copies; a dense spot of wide boxes, all of which do meet, is left to the
+    adaptive skew join.
     """
     ca, cb = _cells(a, a_box, cell), _cells(b, b_box, cell)
     gx, gy = f"greatest({a_box[0]}, {b_box[0]})", f"greatest({a_box[1]}, {b_box[1]})"
@@ -50,13 +48,15 @@ def box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Sequence[
     tests = [f"{a_box[0]} <= {b_box[2]}", f"{b_box[0]} <= {a_box[2]}", f"{a_box[1]} <= {b_box[3]}",
              f"{b_box[1]} <= {a_box[3]}", f"floor({gx}/{cell}D) = _cx", f"floor({gy}/{cell}D) = _cy"]
     hot_rows = hot_rows or HOT_CELL_ROWS
-    counts = (
-        ca.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-        .unionByName(cb.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
-        .groupBy(*on).agg(F.max("_n").alias("_n")).filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n")).limit(MAX_HOT)
-    )
-    hot = F.broadcast(counts.selectExpr(*on, f"CAST(least(ceil(sqrt(4D * _n / {hot_rows})), {MAX_SPLIT}) AS INT) AS _split"))
+
+    def load(d: DataFrame, box: Sequence[str]) -> DataFrame:
+        wide = f"greatest({box[2]} - {box[0]}, {box[3]} - {box[1]})"
+        return d.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.expr(f"sum({wide} * {wide})").alias("_w"))
+
+    counts = load(ca, a_box).unionByName(load(cb, b_box)).groupBy(*on).agg(
+        F.max("_n").alias("_n"), F.expr("sqrt(sum(_w) / sum(_n))").alias("_w")).filter(F.col("_n") > hot_rows)
+    hot = counts.selectExpr(*on, f"CAST(greatest(1D, least(ceil(sqrt(4D * _n / {hot_rows})), floor({cell}D / greatest(_w, {cell}D / 1e6)))) AS INT) AS _split")
+    hot = hot.filter("_split > 1")
     ca, cb = _refine(ca, a_box, hot, on, cell), _refine(cb, b_box, hot, on, cell).drop("_split")
     on = [*on, "_sx", "_sy"]
     tests += [f"_sx = {_sub(gx, '_cx', cell)}", f"_sy = {_sub(gy, '_cy', cell)}"]
@@ -69,7 +69,9 @@ def any_box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Seque
     """``box_pairs`` for boxes of any size, from a house to a continent.
 
     A box lives on the grid level whose cells are at least its size, hence in at most four cells, and is
-    also entered on the coarser levels in use.  A pair meets on the coarser of its two levels.
+    also entered on the coarser levels in use.  A pair meets on the coarser of its two levels: boxes of a at
+    home meet boxes of b at home or passing through, and boxes of a passing through meet those of b at home,
+    so that two small boxes never meet on the level of a large one.
     """
     def home(box: Sequence[str]) -> str:
         minx, miny, maxx, maxy = box
@@ -84,7 +86,8 @@ def any_box_pairs(a: DataFrame, b: DataFrame, a_box: Sequence[str], b_box: Seque
         d = d.selectExpr("*", f"explode(sequence(floor({minx}/{flag}s), floor({maxx}/{flag}s))) AS _cx")
         return d.selectExpr("*", f"explode(sequence(floor({miny}/{flag}s), floor({maxy}/{flag}s))) AS _cy")
 
-    d = entered(a, a_box, "_ah").join(entered(b, b_box, "_bh"), ["_l", "_cx", "_cy"]).filter("_ah OR _bh")
+    ea, eb, on = entered(a, a_box, "_ah"), entered(b, b_box, "_bh"), ["_l", "_cx", "_cy"]
+    d = ea.filter("_ah").join(eb, on).unionByName(ea.filter("NOT _ah").join(eb.filter("_bh"), on))
     tests = [f"{a_box[0]} <= {b_box[2]}", f"{b_box[0]} <= {a_box[2]}", f"{a_box[1]} <= {b_box[3]}", f"{b_box[1]} <= {a_box[3]}",
              f"floor(greatest({a_box[0]}, {b_box[0]}) / _ahs) = _cx", f"floor(greatest({a_box[1]}, {b_box[1]}) / _ahs) = _cy"]
     return d.filter(" AND ".join(tests)).select(*a.columns, *b.columns)

@@ -59,9 +59,10 @@ def gaps(df: DataFrame, keys: Sequence[str], lo: str, hi: str, start: Column, en
 
 def dedupe_splits(df: DataFrame, keys: Sequence[str], t: str = "t", eps: float = 1e-6,
                   scale: Column | None = None) -> DataFrame:
-    """Drop a cut point closer than ``eps`` to the one before it on the same segment.
+    """Drop cut points closer than ``eps`` to the last one kept before them on the same segment.
 
-    ``scale`` turns the gap in ``t`` into another unit, for instance metres.
+    ``scale`` turns the gap in ``t`` into another unit, for instance metres.  Only points in a chain, each
+    nearer than ``eps`` to the next, depend on each other; a chain of three or more is walked in one row.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in (*keys, t)]
@@ -70,4 +71,12 @@ def dedupe_splits(df: DataFrame, keys: Sequence[str], t: str = "t", eps: float =
     d = ordered_scan(once, keys, [t], F.floor(F.col(t) * UNIT_BLOCKS), previous={"_before": t})
     gap = F.col(t) - F.col("_before")
     gap = gap if scale is None else gap * scale
-    return d.filter(F.col("_before").isNull() | (gap >= eps)).drop("_before")
+    d = d.withColumn("_open", F.when(F.col("_before").isNull() | (gap >= eps), 1).otherwise(0)).drop("_before")
+    d = ordered_scan(d, keys, [t], F.floor(F.col(t) * UNIT_BLOCKS), sums={"_chain": F.col("_open")})
+    d = d.withColumn("_chain", F.col("_chain") + F.col("_open")).drop("_open")
+    unit = F.lit(1.0) if scale is None else scale
+    row = F.struct(t, unit.cast("double").alias("_unit"), *[c for c in df.columns if c not in (*keys, t)])
+    chains = d.groupBy(*keys, "_chain").agg(F.array_sort(F.collect_list(row)).alias("_pts"))
+    kept = F.aggregate(F.slice("_pts", 2, F.greatest(F.size("_pts") - 1, F.lit(0))), F.slice("_pts", 1, 1), lambda acc, x: F.when(
+        (x[t] - F.element_at(acc, -1)[t]) * x["_unit"] >= eps, F.concat(acc, F.array(x))).otherwise(acc))
+    return chains.select(*keys, F.inline(kept)).select(*df.columns)

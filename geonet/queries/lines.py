@@ -133,7 +133,7 @@ def _(spark, sf):
 
 @query("close_rings", with_layers("fx_paths", """
 SELECT line_id, idx, x, y FROM fx_paths UNION ALL
-SELECT line_id, 8, x, y FROM fx_paths WHERE idx = 0 AND line_id IN (SELECT line_id FROM fx_paths WHERE idx = 7)"""))
+SELECT p.line_id, m.n + 1, p.x, p.y FROM fx_paths p JOIN (SELECT line_id, max(idx) AS n FROM fx_paths GROUP BY 1) m USING (line_id) WHERE p.idx = 0 AND m.n >= 2"""))
 def _(spark, sf):
     """Paths turned into rings by going back to their start."""
     return vx.close_rings(layer(spark, sf, "fx_paths").select("line_id", "idx", "x", "y"), ["line_id"])
@@ -252,8 +252,10 @@ def _(spark, sf):
 
 
 @query("dedupe_splits", """
-WITH v AS (SELECT DISTINCT l_suppkey AS line_id, CAST(floor(l_partkey / 100) AS BIGINT) AS seg_idx, l_extendedprice / 100000 AS t FROM lineitem)
-SELECT line_id, seg_idx, t FROM (SELECT *, lag(t) OVER (PARTITION BY line_id, seg_idx ORDER BY t) AS b FROM v) WHERE b IS NULL OR t - b >= 0.01""")
+WITH RECURSIVE v AS (SELECT DISTINCT l_suppkey AS line_id, CAST(floor(l_partkey / 100) AS BIGINT) AS seg_idx, l_extendedprice / 100000 AS t FROM lineitem),
+k AS (SELECT line_id, seg_idx, min(t) AS t FROM v GROUP BY 1, 2
+  UNION ALL SELECT k.line_id, k.seg_idx, min(v.t) FROM k JOIN v ON v.line_id = k.line_id AND v.seg_idx = k.seg_idx AND v.t - k.t >= 0.01 GROUP BY 1, 2)
+SELECT * FROM k""")
 def _(spark, sf):
     d = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
         "l_suppkey AS line_id", "CAST(floor(l_partkey / 100) AS BIGINT) AS seg_idx", "l_extendedprice / 100000 AS t")

@@ -37,7 +37,7 @@ def tile_feature_cap(tiles: DataFrame, k: int | None, order: list[str]) -> DataF
     if k is None:
         return tiles
     on = ["z", "tx", "ty"]
-    hot = F.broadcast(hot_keys(tiles, on))
+    hot = hot_keys(tiles, on)
     d = tiles.join(hot, on, "left").withColumn("_salt", F.expr(f"pmod(xxhash64({', '.join(order)}), coalesce(_salts, 1))"))
     first = F.row_number().over(W.partitionBy(*on, "_salt").orderBy(*order))
     d = d.withColumn("_rn", first).filter(F.col("_rn") <= k)

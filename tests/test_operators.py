@@ -172,12 +172,11 @@ def peucker(pts, tol):
     return sorted(keep)
 
 
-@pytest.mark.parametrize("small", [0, 6, 1024])
-def test_simplify(spark, forced_splits, small):
+def test_simplify(spark, forced_splits):
     rng = random.Random(4)
     lines = {1: [(i * 10.0, rng.uniform(0, 40)) for i in range(40)], 2: [(0.0, 0.0), (5.0, 1.0)], 3: [(0.0, 0.0), (50.0, 50.0), (0.0, 0.0)]}
     d = spark.createDataFrame([(k, i, x, y) for k, pts in lines.items() for i, (x, y) in enumerate(pts)], "line_id int, idx int, x double, y double")
-    got = rows(simplify.simplify_lines(d, 8.0, small=small), "line_id", "idx")
+    got = rows(simplify.simplify_lines(d, 8.0), "line_id", "idx")
     assert got == sorted((k, i) for k, pts in lines.items() for i in peucker(pts, 8.0))
 
 
