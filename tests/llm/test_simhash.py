@@ -7,12 +7,12 @@ from geonet.llm import simhash
 from geonet.llm.common import WORD_RE
 
 
-def print_of(text):
+def print_of(text, k=4):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = WORD_RE.findall(low)
     if not words:
         return 0
-    shingles = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]
+    shingles = [" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))]
     hs = [xxhash.xxh64_intdigest(s.encode("utf-8"), 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
