@@ -149,7 +149,18 @@ def _(spark, sf):
     return d.groupBy("road_type").agg(F.expr("count(1) AS lines"), F.expr("sum(n) AS segs"), F.expr("round(sum(l), 3) + 0D AS len"))
 
 
-@query("simplify_lines")
+@query("simplify_lines", with_layers("fx_tracks", """
+WITH RECURSIVE span AS (SELECT line_id, min(idx) AS a, max(idx) AS b FROM fx_tracks GROUP BY 1
+  UNION ALL SELECT line_id, unnest([a, m]), unnest([m, b]) FROM (
+    SELECT line_id, a, b, max(far) AS far, min_by(idx, (-far, idx)) AS m FROM (
+      SELECT line_id, a, b, idx, pow(ax + t * (bx - ax) - x, 2) + pow(ay + t * (by_ - ay) - y, 2) AS far FROM (
+        SELECT s.line_id, s.a, s.b, v.idx, v.x, v.y, p.x AS ax, p.y AS ay, q.x AS bx, q.y AS by_,
+          coalesce(greatest(0, least(1, ((v.x - p.x) * (q.x - p.x) + (v.y - p.y) * (q.y - p.y)) / nullif(pow(q.x - p.x, 2) + pow(q.y - p.y, 2), 0))), 0) AS t
+        FROM span s JOIN fx_tracks v ON v.line_id = s.line_id AND v.idx > s.a AND v.idx < s.b
+          JOIN fx_tracks p ON p.line_id = s.line_id AND p.idx = s.a JOIN fx_tracks q ON q.line_id = s.line_id AND q.idx = s.b))
+    GROUP BY 1, 2, 3) WHERE far > 64),
+kept AS (SELECT line_id, a AS idx FROM span UNION SELECT line_id, b FROM span)
+SELECT line_id, idx, x, y FROM kept JOIN fx_tracks USING (line_id, idx)"""))
 def _(spark, sf):
     """Event tracks without the vertices that deviate by 8 or less."""
     return simplify.simplify_lines(layer(spark, sf, "fx_tracks"))
