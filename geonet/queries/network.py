@@ -10,6 +10,7 @@ from geonet.operators.skew import salted_join
 from geonet.operators.vertices import node_key
 from geonet.queries.attributes import haversine_sql
 from geonet.queries.lines import NETWORK, PATH_SEGS, network_segments, r, street_segments
+from geonet.session import settle
 
 QUERIES: dict = {}
 
@@ -117,7 +118,7 @@ WITH {COLOR}, g AS (SELECT *, CASE WHEN abs(t0 - lag(t1) OVER w) <= 1e-9 THEN 0
 h AS (SELECT *, sum(brk) OVER (PARTITION BY street_id, color ORDER BY t0) AS run FROM g)
 SELECT street_id AS line_id, color, CAST(run AS INTEGER) AS run, count(*) AS pieces, round(sum(t1 - t0) * 100, 6) + 0.0 AS len, min(road_type) AS road_type FROM h GROUP BY 1, 2, 3"""))
 def _(spark, sf):
-    d = coloring.run_attributes(coloring.merge_runs(colored(spark, sf)))
+    d = coloring.run_attributes(coloring.merge_runs(settle(colored(spark, sf), "pieces")))
     return d.selectExpr("line_id", "color", "run", "pieces", *r("len"), "road_type")
 
 
