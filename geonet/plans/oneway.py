@@ -36,12 +36,23 @@ def street_attributes(streets: DataFrame) -> DataFrame:
     return d.withColumns({name: fn(f"`{name}`") for name, fn in clean.items() if name in d.columns})
 
 
+def with_own(pieces: DataFrame, own: DataFrame, names: list[str]) -> DataFrame:
+    """Attributes of the one-way itself where it has them, else the street's; its other columns come along."""
+    mine = at.drop_attrs(own)
+    extra = [c for c in mine.columns if c != "line_id"]
+    mine = mine.select(F.col("line_id").alias("_line"), *[F.col(f"`{c}`").alias(f"_own_{c}") for c in extra])
+    d = pieces.join(mine, F.expr("oneway_id.line_id = _line"), "left").drop("_line")
+    filled = {c: at.fill_from(f"`_own_{c}`", f"`{c}`") if c in names else F.col(f"`_own_{c}`") for c in extra}
+    return d.withColumns(filled).drop(*[f"_own_{c}" for c in extra])
+
+
 def oneway_status(oneways: DataFrame, streets: DataFrame, attrs: DataFrame, masks: DataFrame,
-                  sync_tol: float = SYNC_TOLERANCE) -> OnewayResult:
+                  sync_tol: float = SYNC_TOLERANCE, own: DataFrame | None = None) -> OnewayResult:
     """Which pieces of one-way streets are open to contra-flow cycling.
 
     ``oneways`` / ``streets``: segments by line_id; ``attrs``: source attributes by street_id; ``masks``:
-    segments with feature_id and submerkmal.  The layers are synchronised at each other's vertices,
+    segments with feature_id and submerkmal; ``own``: attributes of the one-ways by line_id under their display
+    names, which win over the street's.  The layers are synchronised at each other's vertices,
     one-ways are cut at true intersections and matched to a street, covered shares decide the
     status, and connected pieces with equal attributes are dissolved, closed ones ('nein') first.
     """
@@ -63,6 +74,9 @@ def oneway_status(oneways: DataFrame, streets: DataFrame, attrs: DataFrame, mask
     names = [c for c in shown.columns if c != "street_id"]
     pieces = settle(status.join(best.selectExpr("oneway_id", "street_id.line_id AS street_id"), "oneway_id"), "status")
     pieces = salted_join(pieces, shown, ["street_id"])
+    if own is not None:
+        pieces = with_own(pieces, own, names)
+        names += [c for c in at.drop_attrs(own).columns if c not in ("line_id", *names)]
     pieces = pieces.withColumnRenamed("rge", "RgE").withColumn("ord", F.when(F.col("RgE") == "nein", 0).otherwise(1))
     pieces = settle(pieces.select("oneway_id", "length", "rest", "RgE", "ord", *names), "pieces")
     same = [k for k in at.MERGE_KEYS if k in pieces.columns]
