@@ -18,13 +18,15 @@ SETTINGS = {
 }
 
 
-def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """Session for tests and benches; a cluster brings its own."""
+def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "12g", scratch: str | None = None) -> SparkSession:
+    """Session for tests and benches; a cluster brings its own.  ``scratch`` is where intermediate tables go."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("geonet")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", memory)
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", f"file://{scratch}")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
