@@ -8,6 +8,7 @@ from geonet.fixtures import layer, with_layers
 from geonet.functions import attributes as at
 from geonet.operators.vertices import feature_segments
 from geonet.queries.attributes import osm_tags
+from geonet.queries.lines import PATH_SEGS, path_segments
 from geonet.session import scratch_path
 from geonet.sources import geojson, manifest, tiles
 
@@ -139,6 +140,43 @@ def _(spark, sf):
     return street_tiles(spark, sf)
 
 
+@query("tile_sink", with_layers("fx_streets", f"WITH {TILE} SELECT z, tx, count(*) AS features, count(DISTINCT ty) AS tiles FROM tile GROUP BY 1, 2"))
+def _(spark, sf):
+    """The tiles written by zoom and column, and read back."""
+    path = scratch_path(spark, "tiles")
+    tiles.write_tiles(street_tiles(spark, sf), path)
+    d = spark.read.parquet(path)
+    return d.groupBy("z", F.col("tx").cast("long").alias("tx")).agg(F.count(F.lit(1)).alias("features"), F.countDistinct("ty").alias("tiles"))
+
+
+# The part of a segment inside a tile by the slabs of its rectangle.
+SLABS = f"""z AS (SELECT CAST(z AS INTEGER) AS z, pow(2, z) / {2 * tiles.HALF!r} AS k FROM range(14, 19) t(z)),
+{PATH_SEGS},
+s AS (SELECT line_id, seg_idx, z, (x1 + {tiles.HALF!r}) * k AS a1, (x2 + {tiles.HALF!r}) * k AS a2, ({tiles.HALF!r} - y1) * k AS b1, ({tiles.HALF!r} - y2) * k AS b2 FROM path_segs, z),
+c AS (SELECT *, unnest(range(CAST(floor(least(a1, a2)) AS BIGINT), CAST(floor(greatest(a1, a2)) AS BIGINT) + 1)) AS tx FROM s),
+t AS (SELECT *, unnest(range(CAST(floor(least(b1, b2)) AS BIGINT), CAST(floor(greatest(b1, b2)) AS BIGINT) + 1)) AS ty FROM c),
+p AS (SELECT *, greatest(0.0, CASE WHEN a1 = a2 THEN 0 ELSE least((tx - a1) / (a2 - a1), (tx + 1 - a1) / (a2 - a1)) END, CASE WHEN b1 = b2 THEN 0 ELSE least((ty - b1) / (b2 - b1), (ty + 1 - b1) / (b2 - b1)) END) AS t0,
+  least(1.0, CASE WHEN a1 = a2 THEN 1 ELSE greatest((tx - a1) / (a2 - a1), (tx + 1 - a1) / (a2 - a1)) END, CASE WHEN b1 = b2 THEN 1 ELSE greatest((ty - b1) / (b2 - b1), (ty + 1 - b1) / (b2 - b1)) END) AS t1 FROM t)"""
+
+
+@query("tile_segments", with_layers("fx_paths", f"""
+WITH {SLABS} SELECT z, tx, ty, count(*) AS parts, round(sum(t1 - t0), 6) + 0.0 AS share FROM p WHERE t1 - t0 > 1e-9 GROUP BY 1, 2, 3"""))
+def _(spark, sf):
+    """Oblique footpaths in the tiles that they really pass."""
+    d = tiles.tile_segments(path_segments(spark, sf).select("line_id", "seg_idx", "x1", "y1", "x2", "y2"), 14, 18).filter("t1 - t0 > 1e-9")
+    return d.groupBy("z", "tx", "ty").agg(F.count(F.lit(1)).alias("parts"), F.expr("round(sum(t1 - t0), 6) + 0D AS share"))
+
+
+@query("broken_parts", """
+SELECT CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS invalid, CAST(count(*) FILTER (event_type NOT IN ('error', 'view', 'purchase', 'click')) AS BIGINT) AS unusable FROM events""")
+def _(spark, sf):
+    """Documents written one per line: the lines that the reader refuses."""
+    path = scratch_path(spark, "documents")
+    documents_to_check(spark, sf).select("text").write.text(path)
+    kinds = geojson.read_lines(spark, path).filter("kind = 'broken'")
+    return kinds.agg(F.count_if(F.col("doc._bad").isNotNull()).alias("invalid"), F.count_if(F.col("doc._bad").isNull()).alias("unusable"))
+
+
 @query("tile_feature_cap", with_layers("fx_streets", f"""
 WITH {TILE} SELECT street_id, z, tx, ty FROM tile QUALIFY row_number() OVER (PARTITION BY z, tx, ty ORDER BY street_id) <= 20"""))
 def _(spark, sf):

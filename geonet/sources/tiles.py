@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from geonet.functions.geometry import MERCATOR_RADIUS
+from geonet.functions.geometry import MERCATOR_RADIUS, let
 from geonet.operators.skew import hot_keys
 
 HALF = math.pi * MERCATOR_RADIUS
@@ -29,6 +29,34 @@ def tile_features(boxes: DataFrame, zmin: int, zmax: int, minzoom: str | None =
     return d.selectExpr("*", f"explode(sequence({row('maxy')}, {row('miny')})) AS ty").drop("_k")
 
 
+def tile_segments(segs: DataFrame, zmin: int, zmax: int, minzoom: str | None = None) -> DataFrame:
+    """The part of every segment in every tile that it passes: columns of ``segs`` + z, tx, ty, t0, t1.
+
+    ``segs`` has web-mercator x1, y1, x2, y2; t0 and t1 bound the part along the segment.  A segment is walked
+    column by column and within a column row by row, so a long one makes as many rows as tiles it passes,
+    not as many as its box holds.  A border belongs to the tile to its right and below; a part of no length
+    is kept only where the segment has none.
+    """
+    low = f"greatest({zmin}, {minzoom})" if minzoom else str(zmin)
+    d = segs.filter(f"{low} <= {zmax}").selectExpr("*", f"explode(sequence({low}, {zmax})) AS z")
+    d = let(d, _k=f"CAST(shiftleft(1L, z) AS DOUBLE) / {2 * HALF}D")
+    d = let(d, _c1=f"(x1 + {HALF}D) * _k", _c2=f"(x2 + {HALF}D) * _k", _r1=f"({HALF}D - y1) * _k", _r2=f"({HALF}D - y2) * _k")
+
+    def walk(d: DataFrame, tile: str, a: str, b: str, t0: str, t1: str) -> DataFrame:
+        """One row per tile number that a + t (b - a) passes for t from t0 to t1, with the part inside it."""
+        p, q = f"({a} + {t0} * ({b} - {a}))", f"({a} + {t1} * ({b} - {a}))"
+        clamp = lambda e: f"CAST(greatest(0, least(shiftleft(1L, z) - 1, floor({e}))) AS BIGINT)"
+        d = d.selectExpr("*", f"explode(sequence({clamp(f'least({p}, {q})')}, {clamp(f'greatest({p}, {q})')})) AS {tile}")
+        edge = lambda n: f"(({n}) - {a}) / nullif({b} - {a}, 0D)"
+        first, last = f"CASE WHEN {b} >= {a} THEN {edge(tile)} ELSE {edge(tile + ' + 1')} END", f"CASE WHEN {b} >= {a} THEN {edge(tile + ' + 1')} ELSE {edge(tile)} END"
+        return let(d, _s=f"greatest({t0}, coalesce({first}, {t0}))", _e=f"least({t1}, coalesce({last}, {t1}))")
+
+    d = walk(d.selectExpr("*", "0D AS _t0", "1D AS _t1"), "tx", "_c1", "_c2", "_t0", "_t1")
+    d = d.drop("_t0", "_t1").withColumnsRenamed({"_s": "_t0", "_e": "_t1"}).filter("_t0 < _t1 OR (_c1 = _c2 AND _r1 = _r2)")
+    d = walk(d, "ty", "_r1", "_r2", "_t0", "_t1").filter("_s < _e OR (_c1 = _c2 AND _r1 = _r2)")
+    return d.selectExpr(*segs.columns, "z", "tx", "ty", "_s AS t0", "_e AS t1")
+
+
 def tile_feature_cap(tiles: DataFrame, k: int | None, order: list[str]) -> DataFrame:
     """The first ``k`` features of each tile by ``order``; without ``k`` everything stays.
 
