@@ -54,6 +54,17 @@ def bbox(vertices: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return vertices.groupBy(*keys).agg(pick("min", "x", "minx"), pick("min", "y", "miny"), pick("max", "x", "maxx"), pick("max", "y", "maxy"))
 
 
+def usable_lines(features: DataFrame, min_points: int = 2, min_length: float = 0.0) -> DataFrame:
+    """Features with the parts that can be drawn: at least ``min_points`` vertices, longer than ``min_length``.
+
+    Null and empty geometry and parts with fewer vertices go; a feature without a part left goes as well.
+    """
+    length = ("aggregate(slice(p, 2, greatest(size(p) - 1, 0)), struct(0D AS l, p[0] AS at),"
+              " (a, c) -> struct(a.l + sqrt(pow(c.x - a.at.x, 2) + pow(c.y - a.at.y, 2)) AS l, c AS at), a -> a.l)")
+    fits = f"p IS NOT NULL AND size(p) >= {max(1, min_points)} AND {length} >= {float(min_length)}D"
+    return features.withColumn("parts", F.expr(f"filter(parts, p -> {fits})")).filter("size(parts) > 0")
+
+
 def layer_box(vertices: DataFrame) -> tuple[float, float, float, float]:
     """Box of a layer as four numbers; raises when no coordinate is finite."""
     row = bbox(vertices).first()

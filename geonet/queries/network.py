@@ -122,7 +122,34 @@ def _(spark, sf):
     return d.selectExpr("line_id", "color", "run", "pieces", *r("len"), "road_type")
 
 
-@query("merge_lines")
+@query("merge_runs_across", with_layers("fx_streets", f"""
+WITH {COLOR}, pe AS (SELECT c.street_id, c.color, c.t0, s.x1 + c.t0 * (s.x2 - s.x1) AS sx, s.y1 + c.t0 * (s.y2 - s.y1) AS sy, s.x1 + c.t1 * (s.x2 - s.x1) AS ex, s.y1 + c.t1 * (s.y2 - s.y1) AS ey
+  FROM colored c JOIN fx_streets s USING (street_id)),
+pb AS (SELECT *, CASE WHEN abs(lag(ex) OVER w - sx) <= 1e-6 AND abs(lag(ey) OVER w - sy) <= 1e-6 THEN 0 ELSE 1 END AS brk FROM pe WINDOW w AS (PARTITION BY color ORDER BY street_id, t0)),
+pn AS (SELECT *, sum(brk) OVER (PARTITION BY color ORDER BY street_id, t0) AS joined FROM pb)
+SELECT color, CAST(joined AS BIGINT) AS joined, count(DISTINCT street_id) AS lines FROM pn GROUP BY 1, 2"""))
+def _(spark, sf):
+    """Runs joined over the ends of lines."""
+    runs = settle(coloring.merge_runs(settle(colored(spark, sf), "pieces")), "runs")
+    return coloring.merge_across(runs).groupBy("color", "joined").agg(F.countDistinct("line_id").alias("lines"))
+
+
+@query("merge_lines", with_layers("fx_streets", """
+WITH RECURSIVE ends AS (SELECT street_id AS line, road_type, x1 AS x, y1 AS y, 0 AS e FROM fx_streets UNION ALL SELECT street_id, road_type, x2, y2, 1 FROM fx_streets),
+meet AS (SELECT min((line, e)) AS p, max((line, e)) AS q FROM ends GROUP BY road_type, x, y HAVING count(*) = 2 AND min(line) <> max(line)),
+step AS (SELECT p[1] AS line, 1 - p[2] AS dir, q[1] AS nline, q[2] AS ndir FROM meet UNION ALL SELECT q[1], 1 - q[2], p[1], p[2] FROM meet),
+arc AS (SELECT street_id AS line, d AS dir FROM fx_streets, (VALUES (0), (1)) v(d)),
+start AS (SELECT line, dir FROM arc ANTI JOIN (SELECT nline AS line, ndir AS dir FROM step) USING (line, dir)),
+walk AS (SELECT line AS l0, dir AS d0, line, dir, 0 AS pos FROM start
+  UNION ALL SELECT l0, d0, nline, ndir, pos + 1 FROM walk JOIN step USING (line, dir)),
+ring AS (SELECT line AS l0, line, dir, 0 AS pos FROM arc ANTI JOIN walk USING (line, dir) WHERE dir = 0
+  UNION ALL SELECT l0, nline, ndir, pos + 1 FROM ring JOIN step USING (line, dir) WHERE nline <> l0),
+tail AS (SELECT l0, d0, max_by((line, dir), pos) AS last FROM walk GROUP BY 1, 2),
+best AS (SELECT a.l0, a.d0, least(a.l0, a.last[1]) AS chain FROM tail a JOIN tail b ON b.l0 = a.last[1] AND b.d0 = 1 - a.last[2] WHERE a.last > b.last),
+pos AS (SELECT chain, line, dir, pos FROM walk JOIN best USING (l0, d0)
+  UNION ALL SELECT l0, line, dir, pos FROM ring WHERE l0 IN (SELECT l0 FROM ring GROUP BY 1 HAVING min(line) = l0))
+SELECT chain AS chain_id, road_type, CAST(pos AS INTEGER) AS seg_idx, CASE pos.dir WHEN 0 THEN x1 ELSE x2 END AS x1, CASE pos.dir WHEN 0 THEN y1 ELSE y2 END AS y1,
+  CASE pos.dir WHEN 0 THEN x2 ELSE x1 END AS x2, CASE pos.dir WHEN 0 THEN y2 ELSE y1 END AS y2, line AS line_id FROM pos JOIN fx_streets ON street_id = line"""))
 def _(spark, sf):
     """Streets of one type joined through nodes where only two of their ends meet."""
     d = chains.merge_lines(street_segments(spark, sf))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from geonet.fixtures import layer, with_layers
 from geonet.functions import attributes as at
-from geonet.operators.vertices import feature_segments
+from geonet.operators.vertices import feature_segments, usable_lines
 from geonet.queries.attributes import osm_tags
 from geonet.queries.lines import PATH_SEGS, path_segments
 from geonet.session import scratch_path
@@ -177,6 +177,17 @@ def _(spark, sf):
     return kinds.agg(F.count_if(F.col("doc._bad").isNotNull()).alias("invalid"), F.count_if(F.col("doc._bad").isNull()).alias("unusable"))
 
 
+@query("usable_lines", with_layers("fx_paths", """
+WITH p AS (SELECT line_id, idx, x, y, lag(x) OVER w AS px, lag(y) OVER w AS py FROM fx_paths WHERE idx < line_id % 4 WINDOW w AS (PARTITION BY line_id ORDER BY idx))
+SELECT line_id AS feature_id, count(*) AS points FROM p GROUP BY 1 HAVING count(*) >= 2 AND sum(coalesce(sqrt(pow(x - px, 2) + pow(y - py, 2)), 0)) >= 50"""))
+def _(spark, sf):
+    """Footpaths cut to 0 to 3 vertices: those with two vertices and 50 units of length."""
+    d = layer(spark, sf, "fx_paths").groupBy(F.col("line_id").alias("feature_id")).agg(
+        F.expr("array_sort(collect_list(CASE WHEN idx < line_id % 4 THEN struct(idx, x, y) END)) AS v"))
+    d = d.selectExpr("feature_id", "array(transform(v, c -> struct(c.x AS x, c.y AS y)), CAST(NULL AS array<struct<x:double,y:double>>)) AS parts")
+    return usable_lines(d, 2, 50.0).selectExpr("feature_id", "CAST(size(parts[0]) AS BIGINT) AS points")
+
+
 @query("tile_feature_cap", with_layers("fx_streets", f"""
 WITH {TILE} SELECT street_id, z, tx, ty FROM tile QUALIFY row_number() OVER (PARTITION BY z, tx, ty ORDER BY street_id) <= 20"""))
 def _(spark, sf):
