@@ -2,7 +2,7 @@
 
 Documents are encoded in ascending id order and their ids, each document closed by an end id, run on through
 sequences of fixed length.  A file holds record batches with two fixed-size-list columns, ``ids`` and ``mask``
-(0 where the last sequence is filled up), so that a reader maps the file and takes any sequence without copying.
+(false where the last sequence is filled up), so that a reader maps the file and takes any sequence without copying.
 Beside it lies a small file with the documents of the data file, in order, and their number of ids.
 
 Files go to a folder that all executors share, written under another name and renamed when complete, so a
@@ -28,7 +28,9 @@ from geonet.llm.common import stored, worker_store
 
 SEQ_LEN = 2_048
 BATCH_SEQS = 256
-CACHE_UNITS = 400_000
+CACHE_UNITS = 1_200_000
+#: Marks that the vocabulary splits off a word of letters.
+MARKS = ".,;:!?"
 #: A piece between two spaces can be encoded by itself if it neither begins nor ends with white space.
 PLAIN = re.compile(r"[!-~¡-ɏ](?:.*[!-~¡-ɏ])?", re.S)
 PLAIN_END = re.compile(r"(?:.*[!-~¡-ɏ])?", re.S)
@@ -49,6 +51,7 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.inner: dict[str, bytes | None] = {}
         self.first: dict[str, bytes | None] = {}
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS))))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -57,27 +60,17 @@ class Encoder:
         """Cache the ids of ``lead + piece`` per piece, None if the piece cannot stand alone."""
         if len(cache) + len(new) > CACHE_UNITS:
             cache.clear()
-        fit = []
+        fit, marked = [], []
         for p in new:
-            cache[p] = None
-            if plain.fullmatch(p):
+            if p[-1:] in MARKS and p[:-1].isalpha():
+                marked.append(p)
+            elif plain.fullmatch(p):
                 fit.append(p)
-        for p, ids in zip(fit, self.units([lead + p for p in fit])):
-            cache[p] = ids
-
-    def units(self, units: list[str], mark: str = "<|endoftext|>") -> list[bytes]:
-        """Ids of many short units: joined by a special token, which splits the text, and cut apart again."""
-        end = self.tokenizer.token_to_id(mark)
-        odd = {i for i, u in enumerate(units) if end is None or "<|" in u or not u}
-        plain = [u for i, u in enumerate(units) if i not in odd]
-        out: list[bytes] = []
-        for at in range(0, len(plain), 4096):
-            ids = np.array(self.tokenizer.encode(mark.join(plain[at:at + 4096]), add_special_tokens=False).ids, dtype=np.int64)
-            cuts = np.concatenate(([-1], np.flatnonzero(ids == end), [len(ids)])).tolist()
-            raw, width = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            out += [raw[(a + 1) * width:b * width] for a, b in zip(cuts[:-1], cuts[1:])]
-        rest, plain_ids = iter(self.whole([units[i] for i in sorted(odd)])), iter(out)
-        return [next(rest) if i in odd else next(plain_ids) for i in range(len(units))]
+            else:
+                cache[p] = None
+        fit += {p[:-1] for p in marked}.difference(cache, fit)
+        cache.update(zip(fit, self.whole([lead + p for p in fit])))
+        cache.update((p, cache[p[:-1]] + self.marks[p[-1]]) for p in marked)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [t.split(" ") for t in texts]
@@ -121,7 +114,7 @@ class SequenceFile:
         self.kind, self.seq_len, self.final = kind, seq_len, f"{base}/{name}"
         self.temp = f"{base}/.{name}-{uuid.uuid4().hex}"
         item = pa.from_numpy_dtype(kind)
-        self.schema = pa.schema([("ids", pa.list_(item, seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+        self.schema = pa.schema([("ids", pa.list_(item, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
         self.sink = self.fs.open_output_stream(self.temp)
         self.writer = ipc.new_file(self.sink, self.schema)
         self.held: list[bytes] = []
@@ -140,7 +133,7 @@ class SequenceFile:
         while len(values) - at >= size or last and at < len(values):
             part = values[at:at + size]
             n = -(-len(part) // self.seq_len) * self.seq_len
-            ids, mask = np.zeros(n, dtype=self.kind), np.zeros(n, dtype=np.uint8)
+            ids, mask = np.zeros(n, dtype=self.kind), np.zeros(n, dtype=bool)
             ids[:len(part)], mask[:len(part)] = part, 1
             columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.seq_len) for x in (ids, mask)]
             self.writer.write_batch(pa.record_batch(columns, schema=self.schema))
