@@ -13,6 +13,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The same class as a literal in Spark SQL text.
 WORD_SQL = r"'[^\\x20\\x09-\\x0D]+'"
 WORD_RE = re.compile(WORD)
+#: Texts that a Python worker gets at once.
+TEXT_ROWS = 2_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,11 +40,26 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text), F.lit("")))))
 
 
+def few_at_once(docs: DataFrame) -> DataFrame:
+    """Lower the session's rows per Arrow batch to TEXT_ROWS, if it is higher, before texts go to Python workers.
+
+    Texts are long, and a worker holds a batch of them several times over.
+    """
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return docs
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back."""
     return settle(df, name)
 
 
 def worker_store(name: str) -> dict:
-    """A dict that lives as long as the Python worker, whichever tasks it runs."""
-    return vars(sys.modules[sys.__name__]).setdefault("_geonet_llm", {}).setdefault(name, {})
+    """A dict that lives on in the Python worker from task to task, until an operator asks for another one."""
+    stores = vars(sys.modules[sys.__name__]).setdefault("_geonet_llm", {})
+    if name not in stores:
+        stores.clear()
+        stores[name] = {}
+    return stores[name]

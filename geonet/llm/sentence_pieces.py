@@ -23,13 +23,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from geonet.llm.common import worker_store
+from geonet.llm.common import few_at_once, worker_store
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$", re.S)
 CACHE_UNITS = 400_000
 #: Characters indexed together.
-INDEX_CHARS = 1 << 21
+INDEX_CHARS = 3 << 18
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,19 +146,25 @@ class Model:
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Places in ``codes`` sorted by the ``depth`` characters that follow (by prefix doubling)."""
     n = len(codes)
-    rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-    size, order = 1, None
-    while True:
+    present = np.zeros(int(codes.max()) + 1, dtype=np.int64)
+    present[codes] = 1
+    dense = np.cumsum(present)[codes]  # characters numbered from 1, in their order
+    bits = int(dense.max()).bit_length()
+    size, key = 0, np.zeros(n, dtype=np.int64)
+    while size < depth and (size + 1) * bits <= 63:  # as many characters as fit one number
         ahead = np.zeros(n, dtype=np.int64)
-        ahead[:max(0, n - size)] = rank[size:]
-        key = rank * (int(rank.max()) + 1) + ahead
-        order = np.argsort(key, kind="stable")
-        size *= 2
+        ahead[:max(0, n - size)] = dense[size:]
+        key, size = key << bits | ahead, size + 1
+    rank = np.empty(n, dtype=np.int64)
+    while True:
+        order = np.argsort(key)
         if size >= depth:
             return order
         key = key[order]
-        rank = np.empty(n, dtype=np.int64)
         rank[order] = np.concatenate(([1], np.cumsum(key[1:] != key[:-1]) + 1))
+        ahead = np.zeros(n, dtype=np.int64)
+        ahead[:max(0, n - size)] = rank[size:]
+        key, size = rank * (int(rank.max()) + 1) + ahead, 2 * size
 
 
 def occurrences(model: Model, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +191,9 @@ def occurrences(model: Model, codes: np.ndarray, order: np.ndarray) -> tuple[np.
         first, stop = bound(False), bound(True)
         low[rows], high[rows] = first, stop
     count = high - low
-    row = np.repeat(np.arange(len(model.pieces)), count)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return order[np.repeat(low, count) + within], row
+    row = np.repeat(np.arange(len(model.pieces), dtype=np.int32), count)
+    place = np.arange(len(row), dtype=np.int32) + np.repeat((low - np.cumsum(count) + count).astype(np.int32), count)
+    return order.astype(np.int32)[place], row
 
 
 def encode_units(model: Model, units: list[str]) -> list[bytes]:
@@ -201,20 +207,21 @@ def encode_units(model: Model, units: list[str]) -> list[bytes]:
     codes = np.where(inside, codes + np.uint32(1), 0).astype(np.uint32)  # characters from 1, so that no character is the end
     order = suffix_array(codes, model.longest)
     at, row = occurrences(model, codes, order)
-    piece, size = model.pieces[row], model.sizes[row]
+    piece, size = model.pieces.astype(np.int32)[row], model.sizes.astype(np.int32)[row]
     single = np.zeros(len(codes), dtype=bool)
     single[at[size == 1]] = True
-    lone = np.flatnonzero(inside & ~single)
-    at, piece, size = np.concatenate((at, lone)), np.concatenate((piece, np.full(len(lone), model.unknown))), np.concatenate((size, np.ones(len(lone), dtype=np.int64)))
-    head = np.repeat(begin, sizes + 1)  # first place of the unit of each place
+    lone = np.flatnonzero(inside & ~single).astype(np.int32)
+    at, size = np.concatenate((at, lone)), np.concatenate((size, np.ones(len(lone), dtype=np.int32)))
+    piece = np.concatenate((piece, np.full(len(lone), model.unknown, dtype=np.int32)))
+    head = np.repeat(begin, sizes + 1).astype(np.int32)  # first place of the unit of each place
     end = at + size
     depth = end - head[at]  # characters of the unit before the end of the edge
-    by = np.argsort(depth, kind="stable")
+    by = np.argsort(depth.astype(np.uint16), kind="stable") if int(depth.max()) < 1 << 16 else np.argsort(depth, kind="stable")
     at, piece, end, depth = at[by], piece[by], end[by], depth[by]
     cuts = np.searchsorted(depth, np.arange(1, int(sizes.max(initial=0)) + 2))
     last, back = np.full(len(codes) + 1, -1, dtype=np.int64), np.zeros(len(codes) + 1, dtype=np.int64)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        here, ids = at[a:b], piece[a:b]
+        here, ids = at[a:b].astype(np.int64), piece[a:b].astype(np.int64)
         starts = here == head[here]
         before = last[here]
         ok = starts | (before >= 0)
@@ -333,7 +340,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", keep: list[str] | No
             out.append(np.frombuffer(x, dtype=enc.kind).astype(np.int32))
         return pd.Series(out)
 
-    return docs.select(*[F.col(c) for c in keep or ["doc_id"]], ids(F.col(text)).alias("ids"))
+    return few_at_once(docs).select(*[F.col(c) for c in keep or ["doc_id"]], ids(F.col(text)).alias("ids"))
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
@@ -344,7 +351,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", keep: list[str] | None
         enc = encoder(model)
         return pd.Series([None if x is None else enc.decode(np.asarray(x, dtype=enc.kind).tobytes()) for x in some])
 
-    return rows.select(*[F.col(c) for c in keep or ["doc_id"]], texts(F.col(ids)).alias("text"))
+    return few_at_once(rows).select(*[F.col(c) for c in keep or ["doc_id"]], texts(F.col(ids)).alias("text"))
 
 
 def digests(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -364,4 +371,4 @@ def digests(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_
             rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), enc.decode(x) == (t or "").replace(SPACE, " ")))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_crc32", "round_trip"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("r")).select("doc_id", "r.*")
+    return few_at_once(docs).select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("r")).select("doc_id", "r.*")
