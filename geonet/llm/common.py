@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 
@@ -57,9 +59,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def worker_store(name: str) -> dict:
-    """A dict that lives on in the Python worker from task to task, until an operator asks for another one."""
+    """A dict that lives on in the Python worker from task to task, until an operator asks for another one.
+
+    The memory of the one before goes back to the system, so that stages do not add up in a worker.
+    """
     stores = vars(sys.modules[sys.__name__]).setdefault("_geonet_llm", {})
     if name not in stores:
         stores.clear()
         stores[name] = {}
+        gc.collect()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
     return stores[name]

@@ -16,14 +16,16 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geonet.llm.common import stored, worker_store
+from geonet.llm.common import few_at_once, stored, worker_store
 from geonet.llm.mixing import hash60
 
 UND = "und"
 #: Documents per language that a model is fitted on, at most about; those of least hash are taken.
 TRAIN_DOCS = 2_000
 ROUNDS = 2
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
+#: Characters of equally long words that are summed together.
+WAVE_CHARS = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LETTER = regex.compile(r"\p{L}")
 #: All sums are scaled by this per character, and again every few characters, so that they stay near one.
@@ -63,10 +65,10 @@ class Pieces:
 
 
 def pieces(path: str) -> Pieces:
-    store = worker_store("pieces")
-    if path not in store:
-        store[path] = Pieces(path)
-    return store[path]
+    store = worker_store("language")
+    if ("pieces", path) not in store:
+        store["pieces", path] = Pieces(path)
+    return store["pieces", path]
 
 
 def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -74,7 +76,7 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     for n in np.unique(lengths).tolist():
         at = np.flatnonzero(lengths == n)
-        step = max(1, (1 << 20) // n)
+        step = max(1, WAVE_CHARS // n)
         for i in range(0, len(at), step):
             some = at[i:i + step]
             codes = np.frombuffer("".join([words[k] for k in some.tolist()]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -91,7 +93,8 @@ def edges(vocab: Pieces, codes: np.ndarray, end: int) -> Iterator[tuple[int, np.
 def forward(vocab: Pieces, codes: np.ndarray, prob: np.ndarray, lang: np.ndarray | None = None):
     """(alpha, log of the scale taken out, pieces per end and length) of equally long words.
 
-    ``prob`` has a row per piece and one for an unknown character; with ``lang`` each word uses its own column.
+    ``prob`` has a row per piece and one for an unknown character; with ``lang`` each word uses its own column, and
+    only then the pieces are kept.
     """
     k, n = codes.shape
     width = prob.shape[1] if lang is None else 1
@@ -107,7 +110,8 @@ def forward(vocab: Pieces, codes: np.ndarray, prob: np.ndarray, lang: np.ndarray
             if size > 1:
                 p = p * (piece != vocab.n)[:, None]
             alpha[end] += p * SCALE ** size * alpha[end - size]
-            here.append((size, piece))
+            if lang is not None:
+                here.append((size, piece))
         found.append(here)
         if lang is None and end % RESCALE == 0:
             s = alpha[end].copy()
@@ -152,10 +156,6 @@ def normal(counts: np.ndarray) -> np.ndarray:
     return np.vstack([prob, np.full((1, prob.shape[1]), 1e-7)])
 
 
-def words_of(text: str) -> list[str]:
-    return ["▁" + w for w in text.split()]
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
@@ -170,7 +170,7 @@ def fit(docs: DataFrame, vocabulary: str, train_docs: int = TRAIN_DOCS, rounds:
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     d = d.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    share = d.groupBy("lang").agg((F.lit(float(train_docs)) / F.count(F.lit(1))).alias("share"))
+    share = stored(d.groupBy("lang").agg((F.lit(float(train_docs)) / F.count(F.lit(1))).alias("share")), "lang-share")
     some = d.join(share, "lang").filter(hash60(F.concat(F.lit("lang"), F.col("doc_id").cast("string"))) < F.col("share") * float(1 << 60))
     words = some.select("lang", F.explode(F.array_remove(F.split("text", r"\s+"), "")).alias("word"))
     words = stored(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "lang-words")
@@ -204,29 +204,30 @@ def predictor(model: tuple[list[str], np.ndarray], vocabulary: str):
     @F.pandas_udf("lang_pred string, score double")
     def predict(text: pd.Series) -> pd.DataFrame:
         store = worker_store("language")
-        if name not in store:
-            store.clear()
-            store[name] = ({}, [np.zeros((0, len(languages)))])
-        rows, table = store[name]
+        if store.get("model") != name:
+            store["model"], store["words"] = name, ({}, [np.zeros((0, len(languages)))])
+        rows, table = store["words"]
         vocab = pieces(vocabulary)
+        texts = [t if t and languages and LETTER.search(t) else None for t in text]
+        if len(rows) > CACHE_WORDS:
+            rows.clear()
+            table[0] = table[0][:0]
+        new: set[str] = set()
+        for at in range(0, len(texts), 64):  # all words of the batch that are new are scored together
+            new |= set().union(*[t.split() for t in texts[at:at + 64] if t]).difference(rows, new)
+        if new:
+            words = list(new)
+            rows.update(zip(words, range(len(rows), len(rows) + len(words))))
+            table[0] = np.vstack([table[0], log_likelihood(vocab, ["▁" + w for w in words], prob)])
         said = []
-        for at in range(0, len(text), 500):
-            some = [words_of(t) if t and languages and LETTER.search(t) else None for t in text.iloc[at:at + 500]]
-            new = list(set().union(*[w for w in some if w is not None]).difference(rows))
-            if len(rows) + len(new) > CACHE_WORDS:
-                rows.clear()
-                table[0] = table[0][:0]
-                new = list(set().union(*[w for w in some if w is not None]))
-            if new:
-                rows.update(zip(new, range(len(rows), len(rows) + len(new))))
-                table[0] = np.vstack([table[0], log_likelihood(vocab, new, prob)])
-            for words in some:
-                if words is None:
-                    said.append((UND, 0.0))
-                    continue
-                x = table[0][np.fromiter(map(rows.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)
-                best = int(x.argmax())
-                said.append((languages[best], float(1.0 / np.exp(x - x[best]).sum())))
+        for t in texts:
+            if t is None:
+                said.append((UND, 0.0))
+                continue
+            words = t.split()
+            x = table[0][np.fromiter(map(rows.__getitem__, words), dtype=np.int64, count=len(words))].sum(axis=0)
+            best = int(x.argmax())
+            said.append((languages[best], float(1.0 / np.exp(x - x[best]).sum())))
         return pd.DataFrame(said, columns=["lang_pred", "score"])
 
     return predict
@@ -240,5 +241,5 @@ def identify(docs: DataFrame, vocabulary: str, model: tuple[list[str], np.ndarra
     texts count, repeated rows each; a null doc_id is not held out and teaches nothing.
     """
     model = model or fit(docs, vocabulary, text=text, lang=lang, doc_id=doc_id, **options)
-    d = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), predictor(model, vocabulary)(F.col(text)).alias("p"))
+    d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), predictor(model, vocabulary)(F.col(text)).alias("p"))
     return d.select("doc_id", "held_out", "p.lang_pred", "p.score")

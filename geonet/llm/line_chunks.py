@@ -14,7 +14,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geonet.llm.common import free_name
+from geonet.llm.common import few_at_once, free_name, worker_store
 
 #: Lines the boundary hash rolls over; one line in DIVISOR ends a chunk; a chunk has MIN_LINES lines with a word.
 ROLL, DIVISOR, MIN_LINES = 2, 4, 2
@@ -50,6 +50,7 @@ def chunk_columns(with_body: bool):
 
     @F.pandas_udf(kind)
     def chunks(text: pd.Series) -> pd.DataFrame:
+        worker_store("lines")
         rows = []
         for t in text:
             found = [c for c in chunks_of(t) if c[2] >= MIN_LINES]
@@ -87,7 +88,7 @@ def without():
 
 def chunk_rows(docs: DataFrame, text: str, doc_id: str, with_body: bool) -> DataFrame:
     names = ["first", "lines", "h1", "h2"] + (["body"] if with_body else [])
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), chunk_columns(with_body)(F.col(text)).alias("c"))
+    d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), chunk_columns(with_body)(F.col(text)).alias("c"))
     zipped = F.arrays_zip(*[F.col(f"c.{n}").alias(n) for n in names])
     return d.select("doc_id", "th", F.inline(zipped))
 

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geonet.llm.common import stored
+from geonet.llm.common import few_at_once, stored
 
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 WINDOW = 5
@@ -121,7 +121,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 def base_table(docs: DataFrame, stratum: str = "lang", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, stratum and the base features of every document; a null text has none of anything."""
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
+    d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
                     base_features()(F.col(text)).alias("b"))
     return d.select("doc_id", "stratum", "b.*")
 

@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from geonet.llm.common import stored
+from geonet.llm.common import few_at_once, stored
 
 WINDOW, GRAM = 400, 64
 SPAN = WINDOW - GRAM + 1
@@ -268,7 +268,7 @@ def counted(pieces: DataFrame) -> DataFrame:
 def covered(docs: DataFrame, text: str, doc_id: str, sort_rows: int) -> DataFrame:
     """(doc_id, th, spans): byte intervals [a, b) to remove per document that has any; th hashes its text."""
     names = ["key", "seg", "start", "n", "off"]
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     found = d.select("doc_id", "th", anchor_columns()(F.col("text")).alias("a"))
     found = stored(found.select("doc_id", "th", F.inline(F.arrays_zip(*[F.col(f"a.{c}").alias(c) for c in names]))), "repeat-anchors")
     keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))

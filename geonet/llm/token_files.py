@@ -24,7 +24,7 @@ from pyarrow import fs as pafs, ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from geonet.llm.common import stored, worker_store
+from geonet.llm.common import few_at_once, stored, worker_store
 
 SEQ_LEN = 2_048
 BATCH_SEQS = 256
@@ -165,7 +165,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     """
     fs, base = place(folder)
     fs.create_dir(base, recursive=True)
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.asc_nulls_first("doc_id"), F.xxhash64("text")]
     d = d.repartitionByRange(*order).sortWithinPartitions(*order)
 
