@@ -18,7 +18,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geonet.llm.common import free_name, row_key, stored
+from geonet.llm.common import few_at_once, free_name, row_key, stored, worker_store
 from geonet.operators.graph import connected_components
 
 DISTANCE = 4
@@ -30,30 +30,40 @@ STARTS = tuple(sum(WIDTHS[:i]) for i in range(len(WIDTHS)))
 NEAR = 4
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Signed 64-bit SimHash of the word shingles of a text, repeats included; 0 without words."""
-    if not text:
-        return 0
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z, and \x20 and \x09-\x0D
+def remixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The shingle hashes of the k-th fingerprint: the hashes themselves for 0, else another permutation of them."""
+    if not k:
+        return h
+    h = h ^ np.uint64(0x9E3779B97F4A7C15 * k % (1 << 64))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def fingerprint(text: str | None, shingle: int, prints: int = 1) -> list[int]:
+    """Signed 64-bit SimHashes of the word shingles of a text, repeats included; 0 without words."""
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # bytes: only A-Z, and \x20 and \x09-\x0D
     if not words:
-        return 0
+        return [0] * prints
     n = max(1, len(words) - shingle + 1)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     ends = (ends[-1:] if len(words) < shingle else ends[shingle - 1:]).tolist()
-    counts = np.zeros(64, dtype=np.int64)
+    counts = np.zeros((prints, 64), dtype=np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, n, CHUNK):
         h = np.array([digest(joined[s:e], SEED) for s, e in zip(starts[at:at + CHUNK], ends[at:at + CHUNK])], dtype="<u8")
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
+        for k in range(prints):
+            counts[k] += np.unpackbits(remixed(h, k).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > n, axis=1, bitorder="little").view("<i8").ravel().tolist()
 
 
-def fingerprints(shingle: int = 4):
-    @F.pandas_udf("long")
+def fingerprints(shingle: int = 4, prints: int = 1):
+    @F.pandas_udf("array<long>")
     def of(text: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in text], dtype="int64")
+        worker_store("simhash")
+        return pd.Series([fingerprint(t, shingle, prints) for t in text])
 
     return of
 
@@ -85,7 +95,7 @@ def near_keys(fp: Column) -> Column:
 
 def within(a: Column, b: Column, key: Column) -> Column:
     """The later budgets of the chain, then the full distance."""
-    diff, start = a.bitwiseXOR(b), (F.shiftright(key, 26) + 1).cast("int")
+    diff, start = a.bitwiseXOR(b), (F.shiftright(key, 26).bitwiseAND(F.lit(7).cast("long")) + 1).cast("int")
 
     def bits(n: int) -> Column:
         return F.bit_count(diff.bitwiseAND(F.element_at(F.array(*[F.lit(mask(i, n)).cast("long") for i in range(5)]), start)))
@@ -94,22 +104,32 @@ def within(a: Column, b: Column, key: Column) -> Column:
 
 
 def classes(fps: DataFrame) -> DataFrame:
-    """(fp, component) for every fingerprint that is linked to another; ``fps`` has distinct ``fp``."""
-    exact = fps.select("fp", F.explode(exact_keys(F.col("fp"))).alias("key"))
-    order = W.partitionBy("key").orderBy("fp")
+    """``fps`` with the class of every fingerprint, ``component``; ``fps`` has distinct rows (fp) or (k, fp).
+
+    With ``k``, the number of a kind of fingerprint, only fingerprints of one kind are compared, and a class is
+    a pair of kind and fingerprint.
+    """
+    by = ["k"] if "k" in fps.columns else []
+    node = lambda c: F.struct("k", F.col(c).alias("fp")) if by else F.col(c)
+    kind = lambda key: key + F.shiftleft(F.col("k").cast("long"), 32) if by else key
+    exact = fps.select(*by, "fp", F.explode(exact_keys(F.col("fp"))).alias("key"))
+    order = W.partitionBy(*by, "key").orderBy("fp")
     close = exact.withColumn("before", F.array(*[F.lag("fp", k).over(order) for k in range(1, NEAR + 1)]))
-    close = close.select("fp", F.explode("before").alias("other"))
+    close = close.select(*by, "fp", F.explode("before").alias("other"))
     close = close.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= DISTANCE)
-    first = connected_components(close.select(F.col("fp").alias("src"), F.col("other").alias("dst")))
-    first = stored(fps.join(first, fps["fp"] == first["node"], "left").select("fp", F.coalesce("component", "fp").alias("c")), "simhash-first")
-
-    a = first.select(F.col("fp").alias("a"), F.col("c").alias("ca"), F.explode(exact_keys(F.col("fp"))).alias("key"))
-    b = first.select(F.col("fp").alias("b"), F.col("c").alias("cb"), F.explode(near_keys(F.col("fp"))).alias("kb"))
+    first = connected_components(close.select(node("fp").alias("src"), node("other").alias("dst")))
+    own = fps.select(*by, "fp", node("fp").alias("own"))
+    first = stored(own.join(first, own["own"] == first["node"], "left").select(*by, "fp", F.coalesce("component", "own").alias("c")), "simhash-first")
+
+    a = first.select(F.col("fp").alias("a"), F.col("c").alias("ca"), *by, F.explode(exact_keys(F.col("fp"))).alias("key"))
+    a = a.select("a", "ca", kind(F.col("key")).alias("key"))
+    b = first.select(F.col("fp").alias("b"), F.col("c").alias("cb"), *by, F.explode(near_keys(F.col("fp"))).alias("kb"))
+    b = b.select("b", "cb", kind(F.col("kb")).alias("kb"))
     linked = (F.col("key") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
     links = a.join(b, linked & within(F.col("a"), F.col("b"), F.col("key")))
     second = connected_components(links.select(F.col("ca").alias("src"), F.col("cb").alias("dst")))
     out = first.join(second, first["c"] == second["node"], "left")
-    return out.select("fp", F.coalesce("component", "c").alias("component"))
+    return out.select(*by, "fp", F.coalesce("component", "c").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -119,7 +139,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, text: str = "text", doc_i
     doc_id that is reachable.  Null and empty texts have fingerprint zero and link like any other; repeated rows
     each get their row; null ids never name a component unless it has no other.  An empty table gives no rows.
     """
-    prints = stored(docs.select(F.col(doc_id).alias("doc_id"), fingerprints(shingle)(F.col(text)).alias("fp")), "simhash-prints")
+    prints = stored(few_at_once(docs).select(F.col(doc_id).alias("doc_id"), fingerprints(shingle)(F.col(text))[0].alias("fp")), "simhash-prints")
     fps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     found = stored(classes(fps.select("fp")), "simhash-classes")
     named = fps.join(found, "fp")
@@ -128,14 +148,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, text: str = "text", doc_i
     return prints.join(named, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, shingle: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stand for their component: those of its smallest id.
+def representatives(docs: DataFrame, shingle: int = 5, prints: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their group: those of its smallest id.
 
-    Of rows that repeat that id one stays; a component without ids keeps one row as well.
+    ``prints`` independent fingerprints are made per document, and documents within four bits by any of them are
+    linked, which finds more of the copies that differ here and there.  Of rows that repeat an id, or without
+    id a text, one stays; an id goes before none.
     """
+    rows = stored(few_at_once(docs).select(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), row_key(doc_id, text).alias("key")).alias("node"),
+                                           fingerprints(shingle, prints)(F.col(text)).alias("fps")), "simhash-rows")
+    one = rows.select("node", F.posexplode("fps").alias("k", "fp"))
+    found = stored(classes(one.select("k", "fp").distinct()), "simhash-classes")
+    named = one.join(found, ["k", "fp"])
+    heads = named.groupBy("component").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head <> last")
+    links = named.join(heads, "component").filter("node <> head").select("node", "head")
+    groups = connected_components(links.select(F.col("node").alias("src"), F.col("head").alias("dst")))
     key, no = free_name(docs, "_sim_key"), free_name(docs, "_sim_no")
-    found = near_duplicates(docs, shingle, text, doc_id)
-    heads = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").cast("string").alias(key)).distinct()
-    kept = docs.withColumn(key, row_key(doc_id, text)).join(heads, key, "left_semi")
+    gone = groups.filter("node <> component").select(F.col("node.key").alias(key)).distinct()
+    kept = docs.withColumn(key, row_key(doc_id, text)).join(gone, key, "left_anti")
     repeat = W.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
     return kept.withColumn(no, F.row_number().over(repeat)).filter(F.col(no) == 1).select(*docs.columns)

@@ -7,13 +7,13 @@ from geonet.llm import simhash
 from geonet.llm.common import WORD_RE
 
 
-def print_of(text, k=4):
+def print_of(text, n_words=4, k=0):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = WORD_RE.findall(low)
     if not words:
         return 0
-    shingles = [" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))]
-    hs = [xxhash.xxh64_intdigest(s.encode("utf-8"), 42) for s in shingles]
+    shingles = [" ".join(words[i:i + n_words]) for i in range(max(1, len(words) - n_words + 1))]
+    hs = [remix(xxhash.xxh64_intdigest(s.encode("utf-8"), 42), k) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
@@ -76,10 +76,38 @@ def test_no_link_is_lost(spark, flips):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, want.values()))
 
 
-def test_representatives(awkward, documents, doc_rows):
-    kept = simhash.representatives(documents)
+def remix(h, k):
+    """The k-th permutation of a shingle hash, in whole numbers."""
+    if k:
+        m = (1 << 64) - 1
+        h ^= 0x9E3779B97F4A7C15 * k & m
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & m
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & m
+        h ^= h >> 31
+    return h
+
+
+def heads_by(rows, words, prints):
+    """Smallest id of every group that links within four bits of any of the fingerprints join; rows: (id, text)."""
+    group = {i: i for i, _ in rows}
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for k in range(prints):
+        for i, _, c in components([(i, print_of(t, words, k)) for i, t in rows]):
+            a, b = sorted((find(i), find(c)))
+            group[b] = a
+    return sorted({find(i) for i, _ in rows})
+
+
+@pytest.mark.parametrize("prints", [1, 3])
+def test_representatives(awkward, nothing, documents, doc_rows, prints):
+    kept = simhash.representatives(documents, prints=prints)
     assert kept.columns == documents.columns
-    heads = {c for _, _, c in components([(r["doc_id"], print_of(r["text"])) for r in doc_rows])}
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(heads)
-    out = simhash.representatives(awkward)
-    assert out.columns == awkward.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 2, 5, 7, 8]
+    assert sorted(r["doc_id"] for r in kept.collect()) == heads_by([(r["doc_id"], r["text"]) for r in doc_rows], 5, prints)
+    out = simhash.representatives(awkward, prints=prints)
+    assert out.columns == awkward.columns and sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1, 2, 5, 7, 8]
+    assert simhash.representatives(nothing, prints=prints).count() == 0
