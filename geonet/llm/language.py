@@ -230,7 +230,8 @@ def predictor(model: tuple[list[str], np.ndarray], vocabulary: str):
             said.append((languages[best], float(1.0 / np.exp(x - x[best]).sum())))
         return pd.DataFrame(said, columns=["lang_pred", "score"])
 
-    return predict
+    # so marked, a filter on the prediction is not moved before it, which would predict every text twice
+    return predict.asNondeterministic()
 
 
 def identify(docs: DataFrame, vocabulary: str, model: tuple[list[str], np.ndarray] | None = None,
