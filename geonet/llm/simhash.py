@@ -148,6 +148,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, text: str = "text", doc_i
     return prints.join(named, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def stand_ins(docs: DataFrame, named: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The rows of ``docs`` without those that a smaller node of their group stands for; ``named`` has (node, component)."""
+    heads = named.groupBy("component").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head <> last")
+    links = named.join(heads, "component").filter("node <> head").select("node", "head")
+    groups = connected_components(links.select(F.col("node").alias("src"), F.col("head").alias("dst")))
+    key, no = free_name(docs, "_sim_key"), free_name(docs, "_sim_no")
+    gone = groups.filter("node <> component").select(F.col("node.key").alias(key)).distinct()
+    kept = docs.withColumn(key, row_key(doc_id, text)).join(gone, key, "left_anti")
+    repeat = W.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
+    return kept.withColumn(no, F.row_number().over(repeat)).filter(F.col(no) == 1).select(*docs.columns)
+
+
 def representatives(docs: DataFrame, shingle: int = 5, prints: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their group: those of its smallest id.
 
@@ -160,11 +172,4 @@ def representatives(docs: DataFrame, shingle: int = 5, prints: int = 4, text: st
     one = rows.select("node", F.posexplode("fps").alias("k", "fp"))
     found = stored(classes(one.select("k", "fp").distinct()), "simhash-classes")
     named = one.join(found, ["k", "fp"])
-    heads = named.groupBy("component").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head <> last")
-    links = named.join(heads, "component").filter("node <> head").select("node", "head")
-    groups = connected_components(links.select(F.col("node").alias("src"), F.col("head").alias("dst")))
-    key, no = free_name(docs, "_sim_key"), free_name(docs, "_sim_no")
-    gone = groups.filter("node <> component").select(F.col("node.key").alias(key)).distinct()
-    kept = docs.withColumn(key, row_key(doc_id, text)).join(gone, key, "left_anti")
-    repeat = W.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
-    return kept.withColumn(no, F.row_number().over(repeat)).filter(F.col(no) == 1).select(*docs.columns)
+    return stand_ins(docs, named, text, doc_id)
