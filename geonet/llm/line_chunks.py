@@ -1,9 +1,10 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by chunks of lines.
 
-A hash that rolls over the hashes of the last lines marks chunk boundaries, so the same passage is cut alike
-wherever it stands.  Chunks of several lines that occur more than once anywhere are removed, all but the
-first occurrence.  Equal chunks are found by grouping on the hash and the bytes themselves, so only chunks
-that are equal byte by byte are removed.
+Every two neighbouring lines with a word are a chunk, with the blank lines between them, so chunks
+overlap and a passage is cut alike wherever it stands and whatever is around it.  Chunks that occur more than once
+anywhere are removed, all but the first occurrence: of a repeated passage of two lines or more no line is left
+over.  The first occurrence of every line stays, as no chunk that holds it has an earlier one.  Chunks are
+found by length and hash, and only chunks that are equal byte by byte are removed.
 """
 
 from __future__ import annotations
@@ -14,50 +15,49 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from geonet.llm.common import few_at_once, free_name, worker_store
+from geonet.llm.common import few_at_once, free_name, stored, worker_store
 
-#: Lines the boundary hash rolls over; one line in DIVISOR ends a chunk; a chunk has MIN_LINES lines with a word.
-ROLL, DIVISOR, MIN_LINES = 2, 4, 2
-BASE, MODULUS = 0x100000001B3, (1 << 61) - 1
+#: Lines with a word in a chunk, at least.
+MIN_LINES = 2
 HAS_WORD = re.compile(r"[^\x20\x09-\x0D]")
+KEY = ["size", "h1", "h2"]
 
 
 def chunks_of(text: str | None) -> list[tuple[int, int, int]]:
-    """(first line, lines, lines with a word) of the chunks of a text, in order."""
+    """(first line, lines, lines with a word) of the chunks of a text, in order; chunks overlap.
+
+    A line that repeats itself gives every other pair and its last three, so that its pairs do not remove one another.
+    """
     if not text:
         return []
-    out, first, worded, recent, rolled = [], 0, 0, [], 0
-    drop = pow(BASE, ROLL, MODULUS)
-    for i, line in enumerate(text.split("\n")):
-        h = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"))
-        recent.append(h)
-        rolled = (rolled * BASE + h) % MODULUS
-        if len(recent) > ROLL:
-            rolled = (rolled - drop * recent.pop(0)) % MODULUS
-        worded += HAS_WORD.search(line) is not None
-        if worded >= MIN_LINES and len(recent) == ROLL and (rolled ^ rolled >> 31) % DIVISOR == 0:
-            out.append((first, i + 1 - first, worded))
-            first, worded = i + 1, 0
-    n = text.count("\n") + 1
-    if first < n:
-        out.append((first, n - first, worded))
+    lines = text.split("\n")
+    worded = [i for i, line in enumerate(lines) if HAS_WORD.search(line)]
+    out, body, run = [], None, 0
+    for k in range(len(worded) - 1):
+        first, end = worded[k], worded[k + 1] + 1
+        run = run + 1 if lines[first:end] == body else 0
+        body = lines[first:end]
+        if run % 2 == 0:
+            out.append((first, end - first, 2))
+        if run and (k + 2 == len(worded) or lines[worded[k + 1]:worded[k + 2] + 1] != body):
+            out.append((worded[k - 1], end - worded[k - 1], 3))
     return out
 
 
 def chunk_columns(with_body: bool):
-    """Pandas function text -> arrays over the chunks of several lines: first line, lines, 128-bit hash, bytes."""
-    kind = "first array<int>, lines array<int>, h1 array<long>, h2 array<long>" + (", body array<binary>" if with_body else "")
+    """Pandas function text -> arrays over the chunks: first line, lines, bytes in it, 128-bit hash, and the bytes."""
+    kind = "first array<int>, lines array<int>, size array<int>, h1 array<long>, h2 array<long>" + (", body array<binary>" if with_body else "")
 
     @F.pandas_udf(kind)
     def chunks(text: pd.Series) -> pd.DataFrame:
         worker_store("lines")
         rows = []
         for t in text:
-            found = [c for c in chunks_of(t) if c[2] >= MIN_LINES]
+            found = chunks_of(t)
             lines = t.split("\n") if found else []
             bodies = ["\n".join(lines[a:a + n]).encode("utf-8", "surrogatepass") for a, n, _ in found]
             hashes = [xxhash.xxh3_128_digest(b) for b in bodies]
-            row = [[a for a, _, _ in found], [n for _, n, _ in found],
+            row = [[a for a, _, _ in found], [n for _, n, _ in found], [len(b) for b in bodies],
                    [int.from_bytes(h[:8], "little", signed=True) for h in hashes], [int.from_bytes(h[8:], "little", signed=True) for h in hashes]]
             rows.append(row + [bodies] if with_body else row)
         return pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")])
@@ -87,7 +87,7 @@ def without():
 
 
 def chunk_rows(docs: DataFrame, text: str, doc_id: str, with_body: bool) -> DataFrame:
-    names = ["first", "lines", "h1", "h2"] + (["body"] if with_body else [])
+    names = ["first", "lines", *KEY] + (["body"] if with_body else [])
     d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), chunk_columns(with_body)(F.col(text)).alias("c"))
     zipped = F.arrays_zip(*[F.col(f"c.{n}").alias(n) for n in names])
     return d.select("doc_id", "th", F.inline(zipped))
@@ -96,15 +96,20 @@ def chunk_rows(docs: DataFrame, text: str, doc_id: str, with_body: bool) -> Data
 def repeated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, th, firsts, counts): the chunks to remove from each document that has any; th hashes its text.
 
-    Bodies are grouped after a map-side combine, so a chunk that a third of all documents hold is one row per
-    task.  Should two different bodies share the 128 bits of their hash, neither is removed.
+    Chunks are counted by length and hash first; bytes are compared only of those that occur again.  Both are
+    grouped after a map-side combine, so a chunk that a third of all documents hold is one row per task.  Should
+    two different bodies share length and the 128 bits of their hash, neither is removed.
     """
-    bodies = chunk_rows(docs, text, doc_id, True)
-    same = bodies.groupBy("h1", "h2", "body").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "first")).alias("keep"))
-    known = same.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("bodies"), F.max("n").alias("n"), F.min("keep").alias("keep"))
-    known = known.filter("bodies = 1 AND n > 1").select("h1", "h2", "keep")
-    at = chunk_rows(docs, text, doc_id, False).join(known, ["h1", "h2"])
-    at = at.filter(~F.struct("doc_id", "th", "first").eqNullSafe(F.col("keep")))
+    at = chunk_rows(docs, text, doc_id, False)
+    known = at.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "first")).alias("keep"))
+    known = stored(known.filter("n > 1").drop("n"), "lines-known")
+    again = stored(at.join(known, KEY), "lines-again")
+    whole = again.select("doc_id", "th").distinct().select(F.col("doc_id").alias("_i"), F.col("th").alias("_th"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    texts = texts.join(whole, texts["doc_id"].eqNullSafe(F.col("_i")) & (F.xxhash64("text") == F.col("_th")), "left_semi")
+    bodies = chunk_rows(texts, "text", "doc_id", True).join(known.select(*KEY), KEY, "left_semi")
+    clash = bodies.select(*KEY, "body").distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("bodies")).filter("bodies > 1")
+    at = again.filter(~F.struct("doc_id", "th", "first").eqNullSafe(F.col("keep"))).join(clash, KEY, "left_anti")
     at = at.groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "lines")).alias("gone"))
     return at.select("doc_id", "th", F.col("gone.first").alias("firsts"), F.col("gone.lines").alias("counts"))
 
@@ -114,7 +119,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     The first occurrence of a chunk, by doc_id (null first) and line, stays.  Null stays null and empty stays
     empty, with no lines; a text that loses all its lines becomes empty.  Rows that repeat both id and text
-    count as one document.  Blank lines go with the chunk that holds them and make none by themselves.
+    count as one document.  Blank lines go with the chunk that holds them and make none by themselves.  A line of a
+    first occurrence goes too where it is part of another chunk that stands earlier.
     """
     gone = repeated(docs, text, doc_id)
     out, i, th = free_name(docs, "_lines"), free_name(docs, "_lines_id"), free_name(docs, "_lines_th")
