@@ -42,6 +42,12 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text), F.lit("")))))
 
 
+def content_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Text that names a row by its id and content together; null and empty texts count as equal."""
+    body = F.md5(F.coalesce(F.col(text), F.lit("")))
+    return F.concat(F.coalesce(F.concat(F.lit("id:"), F.col(doc_id).cast("string")), F.lit("text")), F.lit(":"), body)
+
+
 def few_at_once(docs: DataFrame) -> DataFrame:
     """Lower the session's rows per Arrow batch to TEXT_ROWS, if it is higher, before texts go to Python workers.
 

@@ -18,7 +18,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from geonet.llm.common import few_at_once, free_name, row_key, stored, worker_store
+from geonet.llm.common import content_key, few_at_once, free_name, stored, worker_store
 from geonet.operators.graph import connected_components
 
 DISTANCE = 4
@@ -155,7 +155,7 @@ def stand_ins(docs: DataFrame, named: DataFrame, text: str, doc_id: str) -> Data
     groups = connected_components(links.select(F.col("node").alias("src"), F.col("head").alias("dst")))
     key, no = free_name(docs, "_sim_key"), free_name(docs, "_sim_no")
     gone = groups.filter("node <> component").select(F.col("node.key").alias(key)).distinct()
-    kept = docs.withColumn(key, row_key(doc_id, text)).join(gone, key, "left_anti")
+    kept = docs.withColumn(key, content_key(doc_id, text)).join(gone, key, "left_anti")
     repeat = W.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
     return kept.withColumn(no, F.row_number().over(repeat)).filter(F.col(no) == 1).select(*docs.columns)
 
@@ -164,10 +164,10 @@ def representatives(docs: DataFrame, shingle: int = 5, prints: int = 4, text: st
     """The rows of ``docs``, with all their columns, that stand for their group: those of its smallest id.
 
     ``prints`` independent fingerprints are made per document, and documents within four bits by any of them are
-    linked, which finds more of the copies that differ here and there.  Of rows that repeat an id, or without
-    id a text, one stays; an id goes before none.
+    linked, which finds more of the copies that differ here and there.  Rows are named by id and text, so of rows
+    that repeat both one stays, and unlike texts of one id stay; an id goes before none.
     """
-    rows = stored(few_at_once(docs).select(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), row_key(doc_id, text).alias("key")).alias("node"),
+    rows = stored(few_at_once(docs).select(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), content_key(doc_id, text).alias("key")).alias("node"),
                                            fingerprints(shingle, prints)(F.col(text)).alias("fps")), "simhash-rows")
     one = rows.select("node", F.posexplode("fps").alias("k", "fp"))
     found = stored(classes(one.select("k", "fp").distinct()), "simhash-classes")
