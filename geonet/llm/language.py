@@ -196,6 +196,16 @@ def fit(docs: DataFrame, vocabulary: str, train_docs: int = TRAIN_DOCS, rounds:
     return languages, prob
 
 
+def has_letter():
+    """Pandas function text -> whether the text has a letter; false for null."""
+
+    @F.pandas_udf("boolean")
+    def found(text: pd.Series) -> pd.Series:
+        return pd.Series([bool(t and LETTER.search(t)) for t in text], dtype=bool)
+
+    return found
+
+
 def predictor(model: tuple[list[str], np.ndarray], vocabulary: str):
     """Pandas function text -> (lang_pred, score)."""
     languages, prob = model
