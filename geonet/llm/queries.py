@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from geonet.llm import language, line_chunks, mixing, quality, repeats, sentence_pieces, simhash, token_files, topk, url_filter
+from geonet.llm import (conversation_repair, language, line_chunks, mixing, periodic_runs, personal_data, quality, repeats, sentence_pieces,
+                        simhash, token_files, topk, url_filter)
 from geonet.llm.common import table
 from geonet.session import scratch_path
 
@@ -87,6 +88,19 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.reports(conversation_repair.damaged(conversations), conversations)
+
+
 QUERIES = {
     "op1_topk": (op1_topk, OP1_SQL),
     "op2_mixing": (op2_mixing, OP2_SQL),
@@ -98,4 +112,7 @@ QUERIES = {
     "op8_repeats": (op8_repeats, None),
     "op9_quality": (op9_quality, None),
     "op10_line_chunks": (op10_line_chunks, None),
+    "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_personal_data": (op12_personal_data, None),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }
