@@ -75,7 +75,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept").withColumnRenamed("kept_text", "text")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

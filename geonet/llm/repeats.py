@@ -3,7 +3,7 @@
 A byte goes if it lies in a string of 400 bytes that also starts anywhere else.  Every window of 400 bytes has an
 anchor, the 64-byte gram of least hash in it, so equal windows have equal anchors at equal places; a run of
 windows with one anchor is a segment.  Only segments whose anchor gram occurs again can hold repeats, and
-equal segments are one, so few segments need a closer look.  Those of one anchor are compared by sorting the
+segments that are equal, by a cryptographic digest of their bytes, are one, so few segments need a closer look.  Those of one anchor are compared by sorting the
 suffixes that start at the anchors, and the reversed prefixes that end there: a mergesort whose comparisons
 find the common extension by binary search over prefix polynomial hashes.  Neighbours in the sorted order are
 verified byte by byte.  Two windows are equal if they lie in one class of the forward order, at the length that
@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from geonet.llm.common import few_at_once, stored
@@ -44,7 +43,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: bytes) -> tuple[list, list, list, list, list]:
-    """Per segment: gram hash, segment hash, first window, windows, place of the gram in the segment."""
+    """Per segment: gram hash, digest of the segment, first window, windows, place of the gram in the segment."""
     out: tuple[list, list, list, list, list] = ([], [], [], [], [])
     last = len(data) - WINDOW + 1
     if last <= 0:
@@ -67,7 +66,7 @@ def anchors(data: bytes) -> tuple[list, list, list, list, list]:
         n = np.diff(np.concatenate((first, [len(at)])))
         out[0].extend(h[at[first]].view(np.int64).tolist())
         starts, counts = (first + begin).tolist(), n.tolist()
-        out[1].extend(xxhash.xxh64_intdigest(data[s:s + c + WINDOW - 1], 7) - (1 << 63) for s, c in zip(starts, counts))
+        out[1].extend(hashlib.blake2b(data[s:s + c + WINDOW - 1], digest_size=16).digest() for s, c in zip(starts, counts))
         out[2].extend(starts)
         out[3].extend(counts)
         out[4].extend((at[first] - first).tolist())
@@ -77,7 +76,7 @@ def anchors(data: bytes) -> tuple[list, list, list, list, list]:
 def anchor_columns():
     names = ["key", "seg", "start", "n", "off"]
 
-    @F.pandas_udf("key array<long>, seg array<long>, start array<int>, n array<int>, off array<int>")
+    @F.pandas_udf("key array<long>, seg array<binary>, start array<int>, n array<int>, off array<int>")
     def of(text: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([anchors(t.encode("utf-8", "surrogatepass") if t else b"") for t in text], columns=names)
 
@@ -252,13 +251,13 @@ def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from solve(pd.concat(held, ignore_index=True))
 
 
-RUNS = "key long, seg long, lows array<int>, highs array<int>"
+RUNS = "key long, seg binary, lows array<int>, highs array<int>"
 
 
 def counted(pieces: DataFrame) -> DataFrame:
-    """The same runs for anchors of very many segments: windows are counted by content, combined before the shuffle."""
+    """The same runs for anchors of very many segments: windows are counted by SHA-256 of their bytes, combined before the shuffle."""
     w = pieces.select("key", "seg", "off", "whole", "body", F.explode(F.sequence(F.lit(0), F.octet_length("body") - WINDOW)).alias("j"))
-    w = w.selectExpr("key", "seg", "whole", "j", "off - j AS before", f"md5(substring(body, j + 1, {WINDOW})) AS content")
+    w = w.selectExpr("key", "seg", "whole", "j", "off - j AS before", f"sha2(substring(body, j + 1, {WINDOW}), 256) AS content")
     often = w.groupBy("key", "before", "content").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     hit = w.join(often, ["key", "before", "content"], "left_semi").select("key", "seg", "j").unionByName(w.filter("whole").select("key", "seg", "j"))
     hit = hit.groupBy("key", "seg").agg(F.array_sort(F.collect_set("j")).alias("lows"))
@@ -271,11 +270,12 @@ def covered(docs: DataFrame, text: str, doc_id: str, sort_rows: int) -> DataFram
     d = few_at_once(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     found = d.select("doc_id", "th", anchor_columns()(F.col("text")).alias("a"))
     found = stored(found.select("doc_id", "th", F.inline(F.arrays_zip(*[F.col(f"a.{c}").alias(c) for c in names]))), "repeat-anchors")
-    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
-    keys = keys.filter("c > 1").selectExpr("key", "lo <> hi AS mixed")
-    again = stored(found.join(keys, "key"), "repeat-again")
-    kinds = again.filter("mixed").groupBy("key", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "start", "n", "off")).alias("at"))
-    kinds = stored(kinds.selectExpr("key", "seg", "c > 1 AS whole", "at.*"), "repeat-kinds")
+    each = found.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "start", "n", "off")).alias("at"))
+    each = stored(each, "repeat-each")
+    keys = stored(each.groupBy("key").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("segs")).filter("c > 1").selectExpr("key", "segs > 1 AS mixed"), "repeat-keys")
+    each = stored(each.join(keys, "key").selectExpr("key", "seg", "mixed", "c > 1 AS whole", "at"), "repeat-known")
+    again = stored(found.join(each.select("key", "seg", "mixed"), ["key", "seg"]), "repeat-again")
+    kinds = each.filter("mixed").select("key", "seg", "whole", "at.*")
     large = stored(kinds.groupBy("key").count().filter(F.col("count") > sort_rows).select("key"), "repeat-large")
     body = d.select(F.col("doc_id").alias("i"), F.col("th").alias("t"), F.col("text").cast("binary").alias("b"))
     pieces = kinds.join(body, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")))
@@ -296,7 +296,7 @@ def covered(docs: DataFrame, text: str, doc_id: str, sort_rows: int) -> DataFram
 
 def removal(with_kept: bool):
     """Pandas function (text, starts, ends) -> counts, digest and, if wanted, bytes of what is left."""
-    kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
+    kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary, kept_text string" if with_kept else "")
 
     @F.pandas_udf(kind)
     def cut(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
@@ -319,7 +319,7 @@ def removal(with_kept: bool):
                     at = stop
             kept = b"".join([*kept, data[at:]])
             row = (len(data), gone, spans, hashlib.sha256(kept).hexdigest())
-            rows.append((*row, kept) if with_kept else row)
+            rows.append((*row, kept, kept.decode("utf-8", "ignore")) if with_kept else row)
         return pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")])
 
     return cut
@@ -327,12 +327,13 @@ def removal(with_kept: bool):
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sort_rows: int = SORT_ROWS,
                    with_kept: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept (remaining bytes) per document.
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept (remaining bytes), kept_text per document.
 
-    Null counts as empty; texts under 400 bytes lose nothing by themselves.  Matches never cross documents;
-    repeated rows repeat each other's strings.  Whole segments count as equal on 128 bits of hash (64 of the
-    anchor, 64 of the segment); everything else is verified on the bytes.  ``sort_rows`` is the number of
-    different segments of one anchor up to which they are sorted in one task; it does not change the result.
+    ``kept_text`` is what is left as text, without halves of characters that a removed run has cut.  Null counts as
+    empty; texts under 400 bytes lose nothing by themselves.  Matches never cross documents;
+    repeated rows repeat each other's strings.  Whole segments are equal if their BLAKE2b digests are; parts of
+    segments are verified on the bytes, but those of anchors with more than ``sort_rows`` different segments, whose
+    windows are counted by SHA-256.  ``sort_rows`` does not change the result.
     """
     spans = covered(docs, text, doc_id, sort_rows).select(F.col("doc_id").alias("i"), F.col("th").alias("t"), "spans")
     d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
