@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from geonet.fixtures import layer, with_layers
-from geonet.operators import cells, clip, discs
+from geonet.operators import capsules, cells, clip, discs
 from geonet.queries.lines import r, street_segments
 
 QUERIES: dict = {}
@@ -155,3 +155,38 @@ def _(spark, sf):
     both = rings.unionByName(rings.selectExpr("area_id + 1000000 AS area_id", "ring", "idx", "x + 150 AS x", "y + 200 AS y"))
     points = layer(spark, sf, "fx_points").selectExpr("point_id", "x AS px", "y AS py")
     return clip.inside_points(points, clip.area_edges(both)).filter("inside").select("point_id")
+
+
+# Every street is an edge of the 100 m lattice, so its buffer is 70 m between nodes and, in the four quarters around a
+# node, a square where a street lies beside the quarter and a quarter disc where none does.
+ROAD_QUARTERS = """ends AS (SELECT x1 AS x, y1 AS y, CASE WHEN x2 > x1 THEN 0 ELSE 1 END AS way FROM fx_streets
+  UNION ALL SELECT x2, y2, CASE WHEN x2 > x1 THEN 2 ELSE 3 END FROM fx_streets),
+nodes AS (SELECT x, y, bool_or(way = 0) AS e, bool_or(way = 1) AS n, bool_or(way = 2) AS w, bool_or(way = 3) AS s FROM ends GROUP BY 1, 2),
+quarters AS (SELECT unnest([e::INT + n::INT, n::INT + w::INT, w::INT + s::INT, s::INT + e::INT]) AS beside FROM nodes)"""
+
+
+@query("road_outline", with_layers("fx_streets", f"""
+WITH {ROAD_QUARTERS}, q AS (SELECT sum(CASE WHEN beside > 0 THEN 225 ELSE pi() * 225 / 4 END) AS area,
+  sum(CASE beside WHEN 0 THEN pi() * 15 / 2 WHEN 1 THEN 15 ELSE 0 END) AS outline FROM quarters)
+SELECT round(area + (SELECT count(*) * 2100 FROM fx_streets), 2) + 0.0 AS area, round(outline + (SELECT count(*) * 140 FROM fx_streets), 2) + 0.0 AS outline FROM q"""))
+def _(spark, sf):
+    d = capsules.outline_measure(*capsules.buffer_outline(layer(spark, sf, "fx_streets"), cells.STREET_BUFFER))
+    return d.selectExpr("round(area, 2) + 0D AS area", "round(outline, 2) + 0D AS outline")
+
+
+def exact_cover(spark, sf) -> tuple[DataFrame, DataFrame]:
+    return capsules.cover_outline(layer(spark, sf, "fx_points"), layer(spark, sf, "fx_streets"), cells.RADII, cells.STREET_BUFFER)
+
+
+@query("cover_outline")
+def _(spark, sf):
+    """Road space within each radius of a point, exactly; tested against rasters, as its outline has no plain SQL form."""
+    d = capsules.outline_measure(*exact_cover(spark, sf), ["radius"])
+    return d.selectExpr("radius", "round(area, 2) + 0D AS area", "round(outline, 2) + 0D AS outline")
+
+
+@query("cover_cells")
+def _(spark, sf):
+    """The same by grid cell."""
+    d = capsules.cell_areas(*exact_cover(spark, sf), cells.GRID)
+    return d.selectExpr("concat('i', radius) AS layer", "radius", "cell", "round(area, 2) + 0D AS area")
