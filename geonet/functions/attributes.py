@@ -85,9 +85,13 @@ def drop_attrs(df: DataFrame, names: list[str] = DROPPED_ATTRS) -> DataFrame:
 
 
 def district_code(value: Column | str) -> Column:
-    """District number of an ``AT9nn00`` code, as text; null if it has none.  Any other text passes unchanged."""
+    """District number of an ``AT9nn00`` code, as text.  Any other text passes unchanged.
+
+    A code that ends before its number has the number 0; null if there is something else in its place.
+    """
     v = _c(value).cast("string")
-    return F.when(v.startswith("AT"), F.substring(v, 4, 2).try_cast("int").cast("string")).otherwise(v)
+    number = F.substring(v, 4, 2)
+    return F.when(v.startswith("AT"), F.when(F.trim(number) == "", "0").otherwise(number.try_cast("int").cast("string"))).otherwise(v)
 
 
 def crop_leading_number(value: Column | str) -> Column:

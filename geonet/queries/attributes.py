@@ -54,7 +54,7 @@ def _(spark, sf):
 
 @query("district_code", with_layers("fx_streets", """
 SELECT street_id, CAST(TRY_CAST(substr(bezirk, 4, 2) AS INTEGER) AS VARCHAR) AS district, CAST(frc AS VARCHAR) AS plain,
-  CAST(NULL AS VARCHAR) AS bare, concat(substr(bezirk, 4, 2), ' Wien') AS named FROM fx_streets"""))
+  '0' AS bare, concat(substr(bezirk, 4, 2), ' Wien') AS named FROM fx_streets"""))
 def _(spark, sf):
     return layer(spark, sf, "fx_streets").select(
         "street_id", at.district_code("bezirk").alias("district"), at.district_code(F.col("frc").cast("string")).alias("plain"),
