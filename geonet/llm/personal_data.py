@@ -41,7 +41,7 @@ CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 MAX_TOKENS = 24
 #: Digit groups in a number, at most.
 MAX_GROUPS = 8
-#: Documents and stretches that the field is trained on, at most, and characters of such a stretch.
+#: Documents (about) and stretches (at most) that the field is trained on, and characters of such a stretch, at most.
 TRAIN_DOCS, TRAIN_STRETCHES, TRAIN_CHARS = 4_000, 2_000, 200
 #: A kind with fewer labelled examples is not added.
 LEAST_EXAMPLES = 5
@@ -328,13 +328,21 @@ def sampled_stretches(found: str = "array<struct<body:string,left:string,right:s
 
 
 def fit(docs: DataFrame, text: str = "text", train_docs: int = TRAIN_DOCS, train_stretches: int = TRAIN_STRETCHES) -> Field:
-    """The field, trained on at most ``train_stretches`` stretches of at most ``train_docs`` documents, both by least hash.
+    """The field, trained on at most ``train_stretches`` stretches of about ``train_docs`` documents.
 
-    Its labels are the patterns' own matches, so no labelled table is needed; without any the field adds nothing.
+    Documents whose hash begins with as many zeros as leave that many are taken where they lie, so no text is moved; of their
+    stretches those of least hash.  The labels are the patterns' own matches, so no labelled table is needed;
+    without any the field adds nothing.
     """
-    h = F.xxhash64(text)
-    d = docs.filter(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text"), h.alias("h")).orderBy("h", "text").limit(train_docs)
-    d = d.select(F.explode(sampled_stretches()(F.col("text"))).alias("s")).select("s.*")
+    level = F.lit(64) - F.length(F.regexp_replace(F.bin(F.xxhash64(text)), "^0+", ""))
+    d = docs.filter(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text"), level.alias("level"))
+    found = d.groupBy("level").count().collect()  # at most 65 rows
+    taken, least = 0, 0
+    for level, n in sorted(found, reverse=True):
+        if taken and taken + n > train_docs:
+            break
+        taken, least = taken + n, level
+    d = d.filter(F.col("level") >= least).select(F.explode(sampled_stretches()(F.col("text"))).alias("s")).select("s.*").distinct()
     d = d.orderBy(F.xxhash64("body", "left", "right"), "body", "left", "right").limit(train_stretches)
     return train([tuple(r) for r in d.collect()])
 
