@@ -240,7 +240,7 @@ def token_index(parts: DataFrame, folder: str) -> DataFrame:
                         rows = []
                 yield index_frame(rows)
 
-    spread = bases.repartition(F.col("part"))
+    spread = bases.repartition(max(1, parts.count()), "part")  # a number given is not coalesced
     return spread.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
