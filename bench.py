@@ -20,7 +20,7 @@ from geonet.queries import registry  # noqa: E402
 from geonet.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = ["classify_coverage", "best_match", "spatial_grid_join", "nearest_on_each_line", "crossings", "coverage_cells",
-            "cover_intersect", "union_area", "clip_lines", "network_distance", "connected_components", "color_edges",
+            "cover_intersect", "road_outline", "union_area", "clip_lines", "network_distance", "connected_components", "color_edges",
             "merge_intervals", "tile_features", "merge_runs", "merge_lines", "simplify_lines", "dissolve_lines", "changed_file_sync",
             "oneway_status", "parking_coverage"]
 #: Timed on the smaller tables only.
