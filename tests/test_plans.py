@@ -1,9 +1,11 @@
 """Plans that must not evaluate their inputs again and again, and boxes that must not meet all to all."""
 
 import json
+import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from geonet.operators import graph, grid, intervals
 from geonet.queries import registry
@@ -84,6 +86,32 @@ def test_chained_cut_points(spark):
     assert got == want + [(2, 0.0), (2, 5.0)]
 
 
+@pytest.mark.parametrize("scaled", [False, True])
+def test_cut_points_in_long_chains(spark, monkeypatch, scaled):
+    """Chains beyond the walked length, with ties on the distance, copies and a segment without length."""
+    monkeypatch.setattr(intervals, "WALK_ROWS", 3)
+    rng = random.Random(7)
+    pts = [(line, rng.randrange(2), rng.randrange(400) / 400, float(3 * line)) for line in range(4) for _ in range(300)]
+    pts += [(9, 0, k * 1e-3 + rng.random() * 1e-4, 3.0) for k in range(0, 1000, 2)] * 2
+    d = spark.createDataFrame(pts, "line_id int, seg_idx int, t double, len double")
+    scale = F.col("len") if scaled else None
+    got = sorted(map(tuple, intervals.dedupe_splits(d, ["line_id", "seg_idx"], "t", 0.0125, scale).collect()))
+    want, last = [], None
+    for line, seg, t, unit in sorted(set(pts)):
+        if last is None or last[:2] != (line, seg) or (t - last[2]) * (unit if scaled else 1.0) >= 0.0125:
+            last = (line, seg, t, unit)
+            want.append(last)
+    assert got == want
+
+
+def test_one_chain_of_many_cut_points(spark):
+    """Half a million points that all hang together: every tenth stays."""
+    n = 500_000
+    d = spark.range(n).selectExpr("1 AS line_id", "id / 1048576D AS t")
+    got = intervals.dedupe_splits(d, ["line_id"], "t", 10 / 1048576).selectExpr("count(1) AS n", "min(t) AS a", "max(t) AS b").first()
+    assert tuple(got) == (n // 10, 0.0, (n - 10) / 1048576)
+
+
 SQUARE = [[0, 0], [10, 0], [10, 10], [0, 10], [0, 0]]
 HOLE = [[2, 2], [3, 2], [3, 3], [2, 3], [2, 2]]
 FAR = [[20, 20], [21, 20], [21, 21], [20, 21], [20, 20]]
