@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from geonet.functions.geometry import geodesic_length
+from geonet.operators.chains import rank_arcs
 from geonet.operators.vertices import node_key
 from geonet.session import Scratch
 
@@ -83,6 +84,47 @@ def network_distance(edges: DataFrame, sources: DataFrame, cutoff: float | None
     return least(reduce(DataFrame.unionByName, fresh, known))
 
 
+def chain_arcs(edges: DataFrame, fixed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Every arc followed through its chain, and the nodes within chains.
+
+    A node lies within a chain if it has two neighbours, both its edges lead both ways at the same length and it is
+    not in ``fixed`` (node).  Output: src, dst (the first node from there on that is not within a chain), len of the
+    whole way; and the inner nodes.  Arcs are followed by doubling, so rounds are the logarithm of the longest chain.
+    Arcs of a cycle of inner nodes alone lead nowhere and are left out.
+    """
+    pairs = edges.filter("src <> dst").groupBy(F.expr("least(src, dst) AS a"), F.expr("greatest(src, dst) AS b")).agg(
+        F.expr("min(CASE WHEN src < dst THEN len END) AS there"), F.expr("min(CASE WHEN src > dst THEN len END) AS back"))
+    pairs = scratch.cut(pairs, "pairs")
+    ends = pairs.selectExpr("coalesce(there = back, false) AS even", "inline(array(struct(a AS node, b AS other), struct(b AS node, a AS other)))")
+    inner = ends.groupBy("node").agg(F.expr("min(other) AS p"), F.expr("max(other) AS q"), F.expr("count(1) AS n"), F.expr("bool_and(even) AS even"))
+    inner = scratch.cut(inner.filter("n = 2 AND even").join(fixed.select("node").distinct(), "node", "left_anti"), "inner")
+    links = inner.selectExpr(
+        "inline(array(struct(struct(p AS src, node AS dst) AS arc, struct(node AS src, q AS dst) AS next),"
+        " struct(struct(q AS src, node AS dst) AS arc, struct(node AS src, p AS dst) AS next)))")
+    arcs = pairs.selectExpr("inline(array(struct(struct(a AS src, b AS dst) AS arc, there AS w), struct(struct(b AS src, a AS dst) AS arc, back AS w)))")
+    arcs = scratch.cut(arcs.filter("w IS NOT NULL").join(links, "arc", "left").select("arc", "w", "next"), "arcs")
+    ways = rank_arcs(arcs, scratch, "ways").filter("done").join(arcs.select("arc", "w"), "arc")
+    return scratch.cut(ways.selectExpr("arc.src AS src", "ptr.dst AS dst", "w + cnt AS len"), "through"), inner.select("node")
+
+
+def chain_distance(edges: DataFrame, sources: DataFrame, cutoff: float | None = None) -> DataFrame:
+    """``network_distance`` with one hop per chain: node, d.
+
+    Chains of nodes with two neighbours become single edges between junctions, dead ends and sources.  Distances are
+    spread over these alone, in as many rounds as the widest way has junctions and not as it has hops, and put back
+    on the inner nodes from both ends of their chain.  It suits long ways; within a cutoff of a few edges
+    ``network_distance`` has less to prepare.  Lengths are not negative.
+    """
+    scratch = Scratch(edges.sparkSession, "contracted")
+    usable = edges if cutoff is None else edges.filter(F.col("len") <= float(cutoff))
+    through, inner = chain_arcs(usable, sources, scratch)
+    outer = through.join(inner.withColumnRenamed("node", "src"), "src", "left_anti").filter("src <> dst")
+    met = scratch.cut(network_distance(outer, sources, cutoff), "met")
+    within = through.join(inner.withColumnRenamed("node", "src"), "src", "left_semi")
+    back = within.join(met.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.expr("min(d + len) AS d"))
+    return met.unionByName(back if cutoff is None else back.filter(F.col("d") <= float(cutoff)))
+
+
 def source_offsets(snaps: DataFrame, tol: float = NODE_TOL) -> DataFrame:
     """Least start distance per snapped node: node, d0."""
     d = snaps.withColumn("node", F.expr(node_key("x", "y", tol)))

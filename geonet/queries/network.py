@@ -69,6 +69,24 @@ def _(spark, sf):
     return graph.network_distance(e, s, cutoff=400.0)
 
 
+@query("chain_distance", """
+WITH hop AS (SELECT event_id AS id, event_type = 'signup' AND user_id % 100 = 0 AS seat, CAST(user_id % 7 AS DOUBLE) AS d0,
+  CAST(1 + user_id % 9 AS DOUBLE) AS len, coalesce(event_id - lag(event_id) OVER (ORDER BY event_id) <> 1, true) AS opens FROM events),
+part AS (SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (ORDER BY id) AS chain FROM hop),
+pos AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY chain ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS m FROM part),
+near AS (SELECT id, least(m + min(CASE WHEN seat THEN d0 - m END) OVER (PARTITION BY chain ORDER BY id),
+  min(CASE WHEN seat THEN d0 + m END) OVER (PARTITION BY chain ORDER BY id DESC) - m) AS d FROM pos)
+SELECT id AS node, d FROM near WHERE d IS NOT NULL UNION ALL SELECT -id, d + 5 FROM near WHERE d IS NOT NULL AND id % 97 = 1""")
+def _(spark, sf):
+    """Distance from the nearest seat along one way through all events, with a spur at every 97th."""
+    e = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type", "user_id")
+    way = e.join(e.selectExpr("event_id - 1 AS event_id"), "event_id", "left_semi").selectExpr("event_id AS a", "event_id + 1 AS b", "CAST(1 + user_id % 9 AS DOUBLE) AS len")
+    spurs = e.filter("event_id % 97 = 1").selectExpr("event_id AS a", "-event_id AS b", "5D AS len")
+    edges = way.unionByName(spurs).selectExpr("inline(array(struct(a AS src, b AS dst, len), struct(b AS src, a AS dst, len)))")
+    seats = e.filter("event_type = 'signup' AND user_id % 100 = 0").selectExpr("event_id AS node", "CAST(user_id % 7 AS DOUBLE) AS d0")
+    return graph.chain_distance(edges, seats)
+
+
 SNAP = """snaps AS (SELECT street_id, least(1, greatest(0, ((p.x - x1) * (x2 - x1) + (p.y - y1) * (y2 - y1)) / 10000)) AS t, x1, y1, x2, y2, p.x AS px, p.y AS py, road_type
   FROM (SELECT DISTINCT x, y FROM fx_points) p JOIN fx_streets s ON p.x BETWEEN least(x1, x2) - 40 AND greatest(x1, x2) + 40 AND p.y BETWEEN least(y1, y2) - 40 AND greatest(y1, y2) + 40),
 snap AS (SELECT street_id, x1 + t * (x2 - x1) AS x, y1 + t * (y2 - y1) AS y, px, py,

@@ -109,11 +109,12 @@ def test_cell_area_tends_to_exact(points):
     assert fine == pytest.approx(exact, rel=1e-3)
 
 
-def dijkstra(edges, sources):
+def dijkstra(edges, sources, one_way=False):
     graph_, dist, heap = {}, {}, [(d, n) for n, d in sources.items()]
     for a, b, w in edges:
         graph_.setdefault(a, []).append((b, w))
-        graph_.setdefault(b, []).append((a, w))
+        if not one_way:
+            graph_.setdefault(b, []).append((a, w))
     heapq.heapify(heap)
     while heap:
         d, n = heapq.heappop(heap)
@@ -140,6 +141,10 @@ def test_graph_with_hub(spark, forced_splits):
     assert got == pytest.approx(want)
     cut = {r["node"]: r["d"] for r in graph.network_distance(d, s, cutoff=12).collect()}
     assert cut == pytest.approx({n: v for n, v in want.items() if v <= 12})
+    got = {r["node"]: r["d"] for r in graph.chain_distance(d, s).collect()}
+    assert got == pytest.approx(want)
+    cut = {r["node"]: r["d"] for r in graph.chain_distance(d, s, cutoff=12).collect()}
+    assert cut == pytest.approx({n: v for n, v in want.items() if v <= 12})
     comp = {r["node"]: r["component"] for r in graph.connected_components(d).collect()}
     parent = {n: n for e in edges for n in e[:2]}
 
@@ -154,6 +159,24 @@ def test_graph_with_hub(spark, forced_splits):
     assert comp == {n: root(n) for n in parent}
 
 
+def test_distance_one_way_and_round(spark):
+    """One-way streets, unequal lengths, cycles with and without a source, loops and a source without streets."""
+    rng = random.Random(4)
+    edges = [(i, i + 1, 1.0) for i in range(30)] + [(i + 1, i, 1.0 + (i == 12)) for i in range(30) if i != 7]
+    edges += [(40 + i, 40 + (i + 1) % 9, 2.0) for i in range(9)] + [(40 + (i + 1) % 9, 40 + i, 2.0) for i in range(9)]
+    edges += [(60 + i, 60 + (i + 1) % 5, 2.0) for i in range(5)] + [(60 + (i + 1) % 5, 60 + i, 2.0) for i in range(5)]
+    edges += [(30, 70, 3.0), (70, 30, 3.0), (70, 71, 1.0), (71, 70, 1.0), (71, 30, 9.0), (30, 71, 9.0), (3, 3, 0.5)]
+    rng.shuffle(edges)
+    sources = {20: 0.25, 43: 1.0, 99: 4.0}
+    d = spark.createDataFrame(edges, "src long, dst long, len double")
+    s = spark.createDataFrame([*sources.items()], "node long, d0 double")
+    want = dijkstra(edges, sources, one_way=True)
+    for cutoff in (None, 6.0):
+        got = {r["node"]: r["d"] for r in graph.chain_distance(d, s, cutoff).collect()}
+        assert got == pytest.approx({n: v for n, v in want.items() if cutoff is None or v <= cutoff})
+    assert graph.chain_distance(d.limit(0), s.limit(0)).count() == 0
+
+
 def peucker(pts, tol):
     keep, todo = {0, len(pts) - 1}, [(0, len(pts) - 1)]
     while todo:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geonet.operators import graph, grid, intervals
 from geonet.queries import registry
+from geonet.session import Scratch
 from geonet.sources import geojson
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +48,21 @@ def test_distances_follow_a_chain(spark):
     assert near == {i: float(i) for i in range(6)}
 
 
+def test_distances_through_a_long_chain(spark, monkeypatch):
+    """20,000 hops with two dead ends, a source in the middle and one at an end."""
+    n = 20_000
+    edges = spark.range(n).selectExpr("inline(array(struct(id AS src, id + 1 AS dst, 1D AS len), struct(id + 1 AS src, id AS dst, 1D AS len)))")
+    sources = spark.createDataFrame([(5_000, 2.0), (n, 0.0)], "node long, d0 double")
+    written = []
+    real = Scratch.cut
+    monkeypatch.setattr(Scratch, "cut", lambda self, df, name: (written.append(name), real(self, df, name))[1])
+    got = {r["node"]: r["d"] for r in graph.chain_distance(edges, sources).collect()}
+    assert got == {i: float(min(abs(i - 5_000) + 2, n - i)) for i in range(n + 1)}
+    assert len(written) < 30  # tables written, one per round
+    near = {r["node"]: r["d"] for r in graph.chain_distance(edges, sources, cutoff=4.0).collect()}
+    assert near == {i: d for i, d in got.items() if d <= 4}
+
+
 def test_one_wide_box_costs_little(spark):
     def boxes(n, p, far):
         d = spark.range(n).selectExpr(f"id AS {p}id", f"id * 10D + {far} AS {p}x", f"0D AS {p}y")
