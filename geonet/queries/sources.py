@@ -193,3 +193,16 @@ WITH {TILE} SELECT street_id, z, tx, ty FROM tile QUALIFY row_number() OVER (PAR
 def _(spark, sf):
     """The 20 first streets of each tile."""
     return tiles.tile_feature_cap(street_tiles(spark, sf), 20, ["street_id"])
+
+
+@query("tile_thin", with_layers("fx_points", f"""
+WITH z AS (SELECT CAST(z AS INTEGER) AS z, pow(2, z) / {2 * tiles.HALF!r} AS k FROM range(13, 17) t(z)),
+g AS (SELECT point_id, z, CAST(floor((x + {tiles.HALF!r}) * k * 4096) AS BIGINT) AS gx, CAST(floor(({tiles.HALF!r} - y) * k * 4096) AS BIGINT) AS gy FROM fx_points, z),
+c AS (SELECT point_id, z, gx >> 12 AS tx, gy >> 12 AS ty,
+  CAST(list_sum(list_transform(range(12), lambda b: ((gx >> b) % 2) * CAST(pow(4, b) AS BIGINT) + ((gy >> b) % 2) * CAST(2 * pow(4, b) AS BIGINT))) AS BIGINT) AS curve FROM g),
+w AS (SELECT *, coalesce(curve - lag(curve) OVER (PARTITION BY z, tx, ty ORDER BY curve, point_id), 16777216) AS gap FROM c)
+SELECT point_id, z, tx, ty FROM w QUALIFY row_number() OVER (PARTITION BY z, tx, ty ORDER BY gap DESC, curve, point_id) <= 12"""))
+def _(spark, sf):
+    """Twelve parking points of each tile, the most crowded left out."""
+    d = layer(spark, sf, "fx_points").selectExpr("point_id", "x AS minx", "y AS miny", "x AS maxx", "y AS maxy")
+    return tiles.tile_thin(tiles.tile_features(d, 13, 16), 12, ["point_id"]).select("point_id", "z", "tx", "ty")

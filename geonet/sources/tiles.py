@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from geonet.functions.geometry import MERCATOR_RADIUS, let
+from geonet.operators.scan import ordered_scan
 from geonet.operators.skew import hot_keys
 
 HALF = math.pi * MERCATOR_RADIUS
@@ -73,6 +74,27 @@ def tile_feature_cap(tiles: DataFrame, k: int | None, order: list[str]) -> DataF
     return d.withColumn("_rn", last).filter(F.col("_rn") <= k).select(*tiles.columns)
 
 
+def tile_thin(tiles: DataFrame, k: int | None, order: list[str]) -> DataFrame:
+    """At most ``k`` features of each tile, the most crowded left out first; without ``k`` everything stays.
+
+    ``tiles`` comes from ``tile_features``.  The features of a tile are put along a Z curve through the centres of
+    their boxes, 4,096 steps a side; ties go by ``order``.  A feature's gap is its way along the curve from the one
+    before it, the first one's is the widest.  Those with the widest gaps stay, ties by curve and ``order``.
+    """
+    if k is None:
+        return tiles
+    on = ["z", "tx", "ty"]
+    d = let(tiles, _k=f"CAST(shiftleft(1L, z) AS DOUBLE) / {2 * HALF}D")
+    place = lambda e, tile: f"CAST(greatest(0, least(4095, floor({e} * _k * 4096) - {tile} * 4096)) AS BIGINT)"
+    d = let(d, _u=place(f"((minx + maxx) / 2 + {HALF}D)", "tx"), _v=place(f"({HALF}D - (miny + maxy) / 2)", "ty"))
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        d = d.withColumns({c: F.expr(f"({c} | shiftleft({c}, {shift})) & {mask}L") for c in ("_u", "_v")})
+    d = d.withColumn("_curve", F.expr("_u | shiftleft(_v, 1)")).select(*tiles.columns, "_curve")
+    d = ordered_scan(d, on, ["_curve", *order], F.expr("shiftright(_curve, 12)"), previous={"_before": "_curve"})
+    d = d.withColumn("_near", F.expr(f"-coalesce(_curve - _before, {1 << 24}L)"))
+    return tile_feature_cap(d, k, ["_near", "_curve", *order]).select(*tiles.columns)
+
+
 def write_tiles(tiles: DataFrame, path: str) -> None:
     """Write tiles partitioned by zoom and column; rows of one tile lie together.
 

@@ -405,6 +405,16 @@ def test_tile_cap_with_hot_tile(spark, forced_splits):
     assert tiles.tile_feature_cap(t, None, ["id"]).count() == 60
 
 
+def test_crowded_features_leave_a_tile_first(spark, forced_splits):
+    """Forty points on one spot and nine far from it: the nine and one of the forty stay."""
+    side = 2 * tiles.HALF / 2 ** 10
+    pts = [(i, 0.3, 0.3) for i in range(40)] + [(100 + i, 0.1 + i % 3 * 0.35, 0.1 + i // 3 * 0.35) for i in range(9)]
+    d = spark.createDataFrame([(i, x * side, -y * side) for i, x, y in pts], "id int, x double, y double")
+    t = tiles.tile_features(d.selectExpr("id", "x AS minx", "y AS miny", "x AS maxx", "y AS maxy"), 10, 10)
+    assert rows(tiles.tile_thin(t, 10, ["id"]), "id") == [(0,)] + [(100 + i,) for i in range(9)]
+    assert tiles.tile_thin(t, None, ["id"]).count() == 49 and tiles.tile_thin(t.limit(0), 3, ["id"]).count() == 0
+
+
 @pytest.mark.parametrize("name", ["classify_coverage", "merge_runs", "union_boundary", "clip_lines"])
 def test_same_result_under_any_partitioning(spark, name):
     from geonet.queries import registry
