@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from geonet.fixtures import layer, with_layers
 from geonet.functions import attributes as at
-from geonet.operators.vertices import feature_segments, usable_lines
+from geonet.operators.scan import next_row
+from geonet.operators.vertices import feature_segments, orient_rings, to_segments, usable_lines
 from geonet.queries.attributes import osm_tags
 from geonet.queries.lines import PATH_SEGS, path_segments
 from geonet.session import scratch_path
@@ -167,6 +168,44 @@ def _(spark, sf):
     return d.groupBy("z", "tx", "ty").agg(F.count(F.lit(1)).alias("parts"), F.expr("round(sum(t1 - t0), 6) + 0D AS share"))
 
 
+# The area of a ring under each tile's rows by edges: the integral of the edge's height, cut to the tile, over its way across the column.
+TILE_AREA = f"""z AS (SELECT CAST(z AS INTEGER) AS z, pow(2, z) / {2 * tiles.HALF!r} AS k FROM range(12, 17) t(z)),
+e AS (SELECT * FROM (SELECT area_id, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM fx_area WINDOW w AS (PARTITION BY area_id, ring ORDER BY idx)) WHERE x2 IS NOT NULL),
+s AS (SELECT area_id, z, k, (x1 + {tiles.HALF!r}) * k AS u1, (x2 + {tiles.HALF!r}) * k AS u2, ({tiles.HALF!r} - y1) * k AS v1, ({tiles.HALF!r} - y2) * k AS v2 FROM e, z),
+rows AS (SELECT area_id, z, unnest(range(CAST(floor(min(least(v1, v2))) AS BIGINT), CAST(floor(max(greatest(v1, v2))) AS BIGINT) + 1)) AS ty FROM s GROUP BY area_id, z),
+c AS (SELECT *, unnest(range(CAST(floor(least(u1, u2)) AS BIGINT), CAST(floor(greatest(u1, u2)) AS BIGINT) + 1)) AS tx FROM s WHERE u1 <> u2),
+w AS (SELECT *, greatest(tx, least(tx + 1, u1)) AS ua, greatest(tx, least(tx + 1, u2)) AS ub FROM c),
+h AS (SELECT area_id, z, k, tx, ty, ub - ua AS way, v1 + (ua - u1) / (u2 - u1) * (v2 - v1) - ty AS a, v1 + (ub - u1) / (u2 - u1) * (v2 - v1) - ty AS b FROM w JOIN rows USING (area_id, z)),
+i AS (SELECT *, CASE WHEN a <= 0 THEN 0 WHEN a <= 1 THEN a * a / 2 ELSE a - 0.5 END AS pa, CASE WHEN b <= 0 THEN 0 WHEN b <= 1 THEN b * b / 2 ELSE b - 0.5 END AS pb FROM h)
+SELECT area_id, z, tx, ty, round(sum(way * CASE WHEN abs(b - a) < 1e-9 THEN greatest(0, least(1, (a + b) / 2)) ELSE (pb - pa) / (b - a) END / k / k), 2) + 0.0 AS area FROM i
+GROUP BY 1, 2, 3, 4 HAVING round(sum(way * CASE WHEN abs(b - a) < 1e-9 THEN greatest(0, least(1, (a + b) / 2)) ELSE (pb - pa) / (b - a) END / k / k), 2) > 0"""
+
+
+def area_parts(spark, sf) -> DataFrame:
+    """The boundary polygons cut by the tiles of five zoom levels."""
+    edges = to_segments(orient_rings(layer(spark, sf, "fx_area"), ["area_id", "ring"], "ring > 0"), ["area_id", "ring"])
+    return tiles.tile_areas(edges, ["area_id"], 12, 16)
+
+
+@query("tile_areas", with_layers("fx_area", f"WITH {TILE_AREA}"))
+def _(spark, sf):
+    """Area of every boundary polygon in every tile."""
+    d = tiles.tile_area_size(area_parts(spark, sf), ["area_id"])
+    return d.selectExpr("area_id", "z", "tx", "ty", "round(area, 2) + 0D AS area").filter("area > 0")
+
+
+@query("tile_rings", with_layers("fx_area", f"WITH {TILE_AREA}"))
+def _(spark, sf):
+    """The same from linked rings: each edge runs from its point to the one of the next place in its ring."""
+    on = ["area_id", "z", "tx", "ty", "ring"]
+    rings = tiles.tile_rings(area_parts(spark, sf), ["area_id"])
+    d = next_row(rings, on, "seq", ["x1", "y1"])
+    first = rings.filter("seq = 0").select(*on, F.col("x1").alias("_x1"), F.col("y1").alias("_y1"))
+    d = d.join(first, on).withColumns({"x2": F.coalesce("next_x1", "_x1"), "y2": F.coalesce("next_y1", "_y1"), "n": F.lit(1)})
+    d = tiles.tile_area_size(d, ["area_id"])
+    return d.selectExpr("area_id", "z", "tx", "ty", "round(area, 2) + 0D AS area").filter("area > 0")
+
+
 @query("broken_parts", """
 SELECT CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS invalid, CAST(count(*) FILTER (event_type NOT IN ('error', 'view', 'purchase', 'click')) AS BIGINT) AS unusable FROM events""")
 def _(spark, sf):
