@@ -15,6 +15,7 @@ ELEMENTS = ("elements array<struct<type:string,id:bigint,tags:map<string,string>
             "geometry:array<struct<lat:double,lon:double>>>>")
 ELEMENT = ("type string, id bigint, tags map<string,string>, lat double, lon double, geometry array<struct<lat:double,lon:double>>, _bad string")
 LINE_DOC = f"type string, id string, properties map<string,string>, geometry {GEOMETRY}, features array<{FEATURE}>, _bad string"
+FILE_NAME = "_metadata.file_name"
 REJECTS = "(?i)example|rendertest"  # fixed value: names of files that are not data
 
 
@@ -40,8 +41,8 @@ def polygon_numbers(kind: str, coordinates: str, parts: str) -> str:
     return f"CASE WHEN {kind} = 'MultiPolygon' THEN {many} ELSE transform({parts}, p -> 0) END"
 
 
-def _features(rows: DataFrame, layer: str) -> DataFrame:
-    """Feature rows of (file, ord, f)."""
+def _features(rows: DataFrame, layer: str, *more: str) -> DataFrame:
+    """Feature rows of (file, ord, f), and ``more`` columns of them."""
     parts = geometry_parts("g.type", "g.coordinates")
     # A geometry is one member, a collection has several; their parts follow each other.
     one = "array(struct(f.geometry.type AS type, f.geometry.coordinates AS coordinates))"
@@ -51,17 +52,17 @@ def _features(rows: DataFrame, layer: str) -> DataFrame:
         "coalesce(f.id, concat(file, '#', ord)) AS feature_id", f"'{layer}' AS layer", "f.properties AS props",
         "f.geometry.type AS geom_type", "flatten(transform(_members, g -> g.parts)) AS parts",
         f"flatten(transform(_members, g -> {polygon_numbers('g.type', 'g.coordinates', 'g.parts')})) AS polygons",
-        "CASE WHEN f.geometry.type = 'GeometryCollection' THEN transform(_members, g -> struct(g.type AS type, size(g.parts) AS n)) END AS members")
+        "CASE WHEN f.geometry.type = 'GeometryCollection' THEN transform(_members, g -> struct(g.type AS type, size(g.parts) AS n)) END AS members", *more)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], file: str = FILE_NAME) -> DataFrame:
     """Lines of feature files: file, ord (block of the file and number in it), line, kind, doc.
 
     ``kind`` is ``feature``, ``collection`` (a whole collection in the line), ``frame`` (a collection's brackets
     and other members, spread over lines) or ``broken``.
     """
     text = spark.read.text(path).selectExpr(
-        "_metadata.file_name AS file", "concat(_metadata.file_block_start, ':', monotonically_increasing_id() & 8589934591L) AS ord",
+        f"{file} AS file", "concat(_metadata.file_block_start, ':', monotonically_increasing_id() & 8589934591L) AS ord",
         "regexp_replace(trim(value), ',$', '') AS line")
     docs = text.filter("line <> ''").selectExpr("*", f"from_json(line, '{LINE_DOC}', map('columnNameOfCorruptRecord', '_bad')) AS doc")
     # a frame line is an unfinished or closing part of a collection that names no feature
@@ -71,11 +72,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return docs.withColumn("kind", F.expr(kind))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str], file: str = FILE_NAME) -> DataFrame:
     """Whole files: file, features, reason (null for a readable collection)."""
     docs = (spark.read.schema(COLLECTION).option("multiLine", True).option("columnNameOfCorruptRecord", "_bad")
             .option("pathGlobFilter", "*").json(path))
-    return docs.selectExpr("_metadata.file_name AS file", "features",
+    return docs.selectExpr(f"{file} AS file", "features",
                            "CASE WHEN _bad IS NOT NULL THEN 'invalid json' WHEN features IS NULL THEN 'no features' END AS reason")
 
 
@@ -86,10 +87,10 @@ def broken_parts(spark: SparkSession, path: str, by_line: bool = False) -> DataF
     return read_documents(spark, path).filter("reason IS NOT NULL").selectExpr("file", "CAST(NULL AS STRING) AS place", "reason")
 
 
-def _rows(spark: SparkSession, path: str, by_line: bool, bad: str) -> DataFrame:
+def _rows(spark: SparkSession, path: str | list[str], by_line: bool, bad: str, file: str = FILE_NAME) -> DataFrame:
     """(file, ord, f) of all features; broken lines and files raise, or are left out with ``bad="skip"``."""
     if by_line:
-        d = read_lines(spark, path).filter("kind <> 'frame'")
+        d = read_lines(spark, path, file).filter("kind <> 'frame'")
         stop = "raise_error(concat('broken GeoJSON line in ', file, ' at ', ord))"
         one = "array(struct(doc.type, doc.id, doc.properties, doc.geometry))"
         found = f"CASE kind WHEN 'feature' THEN CAST({one} AS array<{FEATURE}>) WHEN 'collection' THEN doc.features"
@@ -97,7 +98,7 @@ def _rows(spark: SparkSession, path: str, by_line: bool, bad: str) -> DataFrame:
         return d.selectExpr("file", "ord AS line", f"posexplode({found}) AS (k, f)").selectExpr("file", "concat(line, ':', k) AS ord", "f")
     stop = "raise_error(concat('unreadable GeoJSON file ', file, ': ', reason))"
     found = "features" if bad == "skip" else f"CASE WHEN reason IS NOT NULL THEN {stop} ELSE features END"
-    return read_documents(spark, path).selectExpr("file", f"posexplode({found}) AS (ord, f)")
+    return read_documents(spark, path, file).selectExpr("file", f"posexplode({found}) AS (ord, f)")
 
 
 def read_features(spark: SparkSession, path: str, layer: str, by_line: bool = False, bad: str = "raise") -> DataFrame:
@@ -124,6 +125,17 @@ def read_feature_files(spark: SparkSession, folder: str, layer: str, by_line: bo
     return _features(data_files(rows, "file").filter("f.geometry IS NOT NULL"), layer)
 
 
+def read_named_files(spark: SparkSession, folder: str, names: list[str], layer: str, by_line: bool = False, bad: str = "raise") -> DataFrame:
+    """Only the named entries of a folder, as ``read_features`` with their ``file``.
+
+    An entry is a file, or a folder of part files as Spark writes them; either way ``file`` is its name.
+    """
+    base = folder.rstrip("/")
+    file = f"substring_index(substring_index(_metadata.file_path, '/{base.split('/')[-1]}/', -1), '/', 1)"
+    rows = _rows(spark, [f"{base}/{n}" for n in names], by_line, bad, file)
+    return _features(rows.filter("f.geometry IS NOT NULL"), layer, "file")
+
+
 def read_osm_elements(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
     """OSM elements (osm_type, osm_id, tags, geom_type, parts); a closed way is a polygon ring.
 
@@ -164,11 +176,11 @@ def good_and_bad(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.filter("reason IS NULL").drop("reason"), checked.filter("reason IS NOT NULL")
 
 
-def feature_json(features: DataFrame, decimals: int = 6, extra: Column | None = None) -> DataFrame:
+def feature_json(features: DataFrame, decimals: int = 6, extra: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One GeoJSON feature per row (column ``value``) from feature_id, props, geom_type, parts, polygons, members.
 
     ``extra`` adds members such as a tiling hint.  Missing properties are left out.  Without ``polygons`` all
-    parts belong to one polygon, without ``members`` there are no geometry collections.
+    parts belong to one polygon, without ``members`` there are no geometry collections.  ``keep`` names columns that stay.
     """
     point = lambda c: f"array(round({c}.x, {decimals}), round({c}.y, {decimals}))"
     line = lambda p: f"transform({p}, c -> {point('c')})"
@@ -193,7 +205,7 @@ def feature_json(features: DataFrame, decimals: int = 6, extra: Column | None =
     d = features.withColumn("_polygons", F.expr(polygons)).withColumn("_geom", F.expr(whole))
     more = F.concat(F.lit(","), extra) if extra is not None else F.lit("")
     props = F.to_json("props") if "props" in features.columns else F.lit("{}")
-    return d.select(F.concat(F.lit('{"type":"Feature","id":'), F.expr("trim(BOTH '[]' FROM to_json(array(CAST(feature_id AS STRING))))"),
+    return d.select(*keep, F.concat(F.lit('{"type":"Feature","id":'), F.expr("trim(BOTH '[]' FROM to_json(array(CAST(feature_id AS STRING))))"),
                              more, F.lit(',"properties":'), props, F.lit(',"geometry":'), F.col("_geom"), F.lit("}")).alias("value"))
 
 
@@ -202,6 +214,11 @@ def write_features(features: DataFrame, path: str, decimals: int = 6, extra: Col
     feature_json(features, decimals, extra).write.mode("overwrite").text(path)
 
 
+def write_feature_files(features: DataFrame, path: str, file: str = "file", decimals: int = 6) -> None:
+    """``write_features`` into one folder of part files per value of ``file``, named ``file=value``."""
+    feature_json(features, decimals, keep=(file,)).repartition(file).write.mode("overwrite").partitionBy(file).text(path)
+
+
 def write_osm(elements: DataFrame, path: str) -> None:
     """Write one OSM element per line."""
     elements.write.mode("overwrite").json(path)

@@ -198,10 +198,12 @@ def tile_thin(tiles: DataFrame, k: int | None, order: list[str]) -> DataFrame:
     return tile_feature_cap(d, k, ["_near", "_curve", *order]).select(*tiles.columns)
 
 
-def write_tiles(tiles: DataFrame, path: str) -> None:
+def write_tiles(tiles: DataFrame, path: str, touched_only: bool = False) -> None:
     """Write tiles partitioned by zoom and column; rows of one tile lie together.
 
     Ranges also follow a hash of the row, so that a tile with much of the data is written by many tasks.
+    ``touched_only`` replaces just the partitions that the rows lie in and leaves the others as they are.
     """
     order = ["z", "tx", "ty", F.xxhash64(*tiles.columns)]
-    tiles.repartitionByRange(*order).sortWithinPartitions("z", "tx", "ty").write.mode("overwrite").partitionBy("z", "tx").parquet(path)
+    writer = tiles.repartitionByRange(*order).sortWithinPartitions("z", "tx", "ty").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic" if touched_only else "static").partitionBy("z", "tx").parquet(path)
