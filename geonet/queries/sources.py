@@ -11,7 +11,7 @@ from geonet.operators.vertices import feature_segments, orient_rings, to_segment
 from geonet.queries.attributes import osm_tags
 from geonet.queries.lines import PATH_SEGS, path_segments
 from geonet.session import scratch_path
-from geonet.sources import geojson, manifest, tiles
+from geonet.sources import geojson, large, manifest, tiles
 
 QUERIES: dict = {}
 
@@ -53,6 +53,19 @@ def _(spark, sf):
     return spark.read.text(path)
 
 
+@query("large_documents", with_layers("fx_streets", """
+SELECT CAST(street_id AS VARCHAR) AS feature_id, road_type, street_name AS name, round(x1 + street_id / 7, 6) + 0.0 AS x1, y1, round(x2 + street_id / 7, 6) + 0.0 AS x2, y2 FROM fx_streets"""))
+def _(spark, sf):
+    """Streets written as four whole documents and read back as segments, each document by as many tasks as it has splits."""
+    path = scratch_path(spark, "documents")
+    lines = geojson.feature_json(street_features(spark, sf).withColumn("doc", F.expr("feature_id % 4")), keep=("doc",)).selectExpr("doc", "1 AS k", "concat(value, ',') AS value")
+    frame = lines.select("doc").distinct().selectExpr(
+        "doc", """inline(array(struct(0 AS k, '{"type":"FeatureCollection","features":[' AS value), struct(2 AS k, '{"type":"Feature","properties":{},"geometry":null}]}' AS value)))""")
+    lines.unionByName(frame).repartition("doc").sortWithinPartitions("doc", "k").select("doc", "value").write.partitionBy("doc").text(path)
+    d = feature_segments(large.read_large_features(spark, path, "streets"))
+    return d.selectExpr("feature_id", "props['road_type'] AS road_type", "props['name'] AS name", "x1", "y1", "x2", "y2")
+
+
 @query("read_osm_elements", with_layers("fx_osm", "SELECT osm_id, osm_type, highway, amenity, x, y FROM fx_osm"))
 def _(spark, sf):
     """OSM elements written one per line and read back."""
