@@ -19,9 +19,9 @@ PIECES_PER_BLOCK = 4_096
 
 
 def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file, size, at (place in order), text without its closing brace; q quotes, and braces opened outside and inside of its quotes."""
+    """file (path and name), size, at (place in order), text without its closing brace; q quotes, and braces opened outside and inside of its quotes."""
     d = spark.read.option("lineSep", "}").text(path).selectExpr(
-        "_metadata.file_name AS file", "_metadata.file_size AS size",
+        "struct(_metadata.file_path AS path, _metadata.file_name AS name) AS file", "_metadata.file_size AS size",
         "struct(_metadata.file_block_start AS start, monotonically_increasing_id() & 8589934591L AS n) AS at", "value AS text")
     d = d.withColumn("_parts", F.split(F.regexp_replace("text", r"(?s)\\.", ""), '"', -1))
     opened = lambda odd: f"length(array_join(filter(_parts, (p, i) -> i % 2 = {odd}), '')) - length(replace(array_join(filter(_parts, (p, i) -> i % 2 = {odd}), ''), '{{', ''))"
@@ -93,6 +93,6 @@ def read_large_features(spark: SparkSession, path: str | list[str], layer: str,
     if bad != "skip":
         first = state.orderBy("file").first()
         if first:
-            raise ValueError(f"unreadable GeoJSON file {first['file']}: {first['reason']}")
+            raise ValueError(f"unreadable GeoJSON file {first['file']['name']}: {first['reason']}")
     rows = parsed.join(state, "file", "left_anti").filter("f.geometry IS NOT NULL")
-    return geojson._features(rows, layer)
+    return geojson._features(rows.selectExpr("file.name AS file", "ord", "f"), layer)
