@@ -43,14 +43,14 @@ def test_same_rows(spark, tmp_path, small_splits):
         "one": json.dumps({"features": [feature(rng, 1)], "type": "FeatureCollection"}),
     }
     folder = tmp_path / "docs"
-    folder.mkdir()
+    (folder / "k=0").mkdir(parents=True)
     for name, text in docs.items():
-        (folder / f"{name}.geojson").write_text(text)
+        (folder / "k=0" / f"{name}.geojson").write_text(text)
     # Files of one name in two folders are two documents.
     for k in (1, 2):
         (folder / f"k={k}").mkdir()
         (folder / f"k={k}" / "same.geojson").write_text(json.dumps({"features": [{**feature(rng, i), "id": f"{k}-{i}"} for i in range(5 * k)]}))
-    assert spark.read.option("lineSep", "}").text(str(folder / "plain.geojson")).rdd.getNumPartitions() > 3
+    assert spark.read.option("lineSep", "}").text(str(folder / "k=0" / "plain.geojson")).rdd.getNumPartitions() > 3
     got, want = rows(large.read_large_features(spark, str(folder), "l")), rows(geojson.read_features(spark, str(folder), "l"))
     assert len(want) > 800 and got == want
 
