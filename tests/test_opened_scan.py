@@ -57,3 +57,11 @@ def test_runs_of_short_lines_are_moved_once(spark):
     runs = coloring.merge_runs(pieces)
     assert plan(runs).count("Exchange hashpartitioning") == 1
     assert sorted((r.line_id, r.seg_idx, r.run) for r in runs.collect()) == [(k, s, 1 + (s == 3)) for k in range(3) for s in (0, 1, 3)]
+
+
+def test_runs_joined_over_lines_in_several_blocks(spark):
+    # Lines 0 to 9 follow each other, but for a gap before line 7.
+    rows = [(k, 0, 0.0, 25, k + (k >= 7) / 2, 0.0, k + 1 + (k >= 7) / 2, 0.0, 1) for k in range(10)]
+    runs = spark.createDataFrame(rows, "line_id int, seg_idx int, t0 double, color int, x1 double, y1 double, x2 double, y2 double, run int")
+    d = coloring.merge_across(runs, block=scan.index_block("line_id", 3))
+    assert sorted((r.line_id, r.joined) for r in d.collect()) == [(k, 1 + (k >= 7)) for k in range(10)]
