@@ -189,6 +189,32 @@ def test_merge_lines_chain_and_loop(segments):
     assert (parts[11][0]["x1"], parts[11][0]["y1"]) == (parts[11][-1]["x2"], parts[11][-1]["y2"])
 
 
+def test_rank_arcs_moves_unfinished_arcs_only(spark, monkeypatch):
+    """Arcs of short chains leave the rounds: what is written stays near the arcs, however many rounds one long chain takes."""
+    from geonet.session import Scratch
+
+    written = []
+    cut = Scratch.cut
+
+    def counted(self, df, name):
+        out = cut(self, df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "cut", counted)
+    # One chain of 32 arcs, 500 single arcs and one loop of three.
+    nexts = {**{i: i + 1 for i in range(31)}, 31: None, **{100 + i: None for i in range(500)}, 700: 701, 701: 702, 702: 700}
+    arc = lambda i: None if i is None else (i, 0)
+    d = spark.createDataFrame([(arc(a), 1, arc(n)) for a, n in nexts.items()],
+                              "arc struct<line:bigint,dir:int>, w bigint, next struct<line:bigint,dir:int>")
+    got = {r["arc"]["line"]: r for r in chains.rank_arcs(d, Scratch(spark, "test"), "rank").collect()}
+    assert len(got) == len(nexts)
+    assert all(got[i]["done"] and got[i]["ptr"]["line"] == 31 and got[i]["cnt"] == 31 - i for i in range(32))
+    assert all(got[100 + i]["done"] and got[100 + i]["ptr"]["line"] == 100 + i for i in range(500))
+    assert all(not got[i]["done"] and got[i]["low"]["line"] == 700 for i in (700, 701, 702))
+    assert sum(written) < 3 * len(nexts) and len(written) >= 6
+
+
 def test_merge_lines_stops_at_junction_and_type(segments):
     star = [(1, 0, 0, 0, 10, 0), (2, 0, 10, 0, 20, 0), (3, 0, 10, 0, 10, 10), (4, 0, 20, 0, 30, 0, "road")]
     assert rows(chains.merge_lines(segments(star)), "chain_id", "line_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
