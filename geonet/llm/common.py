@@ -64,6 +64,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return settle(df, name)
 
 
+def give_back() -> None:
+    """Freed memory of the worker goes back to the system."""
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def worker_store(name: str) -> dict:
     """A dict that lives on in the Python worker from task to task, until an operator asks for another one.
 
@@ -74,6 +80,5 @@ def worker_store(name: str) -> dict:
         stores.clear()
         stores[name] = {}
         gc.collect()
-        if sys.platform == "linux":
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
     return stores[name]

@@ -23,13 +23,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from geonet.llm.common import few_at_once, worker_store
+from geonet.llm.common import few_at_once, give_back, worker_store
 
 SPACE = "▁"
 UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$", re.S)
-CACHE_UNITS = 400_000
+#: Units that a worker remembers, but for those of the texts at hand; they hold most of its memory.
+CACHE_UNITS = 200_000
 #: Characters indexed together.
-INDEX_CHARS = 3 << 18
+INDEX_CHARS = 1 << 18
+#: Characters of the texts whose units are held together; a longer text is taken by itself.
+HELD_CHARS = 1 << 20
 HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -284,9 +287,12 @@ class Encoder:
         return [u[1:] if u[1:2] != SPACE and len(u) > 1 else u for u in UNIT.findall(SPACE + text.replace(" ", SPACE))]
 
     def prepare(self, texts: list[str | None]) -> None:
-        """Index and learn the units of a batch that are new; one index for as many texts as INDEX_CHARS allow."""
+        """Index and learn the units of these texts that are new; one index for as many texts as INDEX_CHARS allow."""
         if len(self.known) > CACHE_UNITS:
-            self.known.clear()
+            # units of these texts stay: the common ones are among them
+            here = set().union(*[self.units(t or "") for t in texts])
+            self.known = {u: ids for u, ids in self.known.items() if u in here}
+            give_back()
         new: set[str] = set()
         size = 0
         for at in range(0, len(texts), 64):
@@ -301,13 +307,21 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text, as bytes, one text after the other."""
-        self.prepare(texts)
-        for t in texts:
-            yield b"".join(map(self.known.__getitem__, self.units(t or "")))
+        at = 0
+        while at < len(texts):
+            stop, size = at + 1, len(texts[at] or "")
+            while stop < len(texts) and size + len(texts[stop] or "") <= HELD_CHARS:
+                size += len(texts[stop] or "")
+                stop += 1
+            self.prepare(texts[at:stop])
+            for t in texts[at:stop]:
+                yield b"".join(map(self.known.__getitem__, self.units(t or "")))
+            at = stop
 
     def learn(self, units: list[str]) -> None:
         # runs of space marks were left whole by ``units``; all others get the mark back that they begin with
         self.known.update(zip(units, encode_units(self.model, [u if u[:1] == SPACE else SPACE + u for u in units])))
+        give_back()  # the arrays of an index
 
     def decode(self, ids: bytes) -> str:
         some = np.frombuffer(ids, dtype=self.kind).tolist()

@@ -63,6 +63,20 @@ def test_forgetting_changes_nothing(enc, monkeypatch):
     assert [ids(enc, [t])[0] for t in texts * 3] == [SP.encode(t) for t in texts * 3]
 
 
+def test_a_batch_is_taken_in_bounded_parts(enc, monkeypatch):
+    """What a worker remembers follows the limits, not the number of texts that it gets at once."""
+    monkeypatch.setattr(sentence_pieces, "CACHE_UNITS", 300)
+    monkeypatch.setattr(sentence_pieces, "HELD_CHARS", 1000)
+    texts = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(60)] + [None, "", "w1x1 w2x2"]
+    enc.known.clear()
+    got, most = [], 0
+    for x in enc.encode(texts):
+        got.append(np.frombuffer(x, dtype=enc.kind).tolist())
+        most = max(most, len(enc.known))
+    assert got == [SP.encode(t or "") for t in texts]
+    assert most <= 300 + 2 * 200
+
+
 def test_documents(documents, doc_rows):
     got = {r["doc_id"]: tuple(r)[1:] for r in sentence_pieces.digests(documents, PATH).collect()}
     for r in doc_rows:
