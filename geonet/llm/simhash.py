@@ -103,6 +103,19 @@ def within(a: Column, b: Column, key: Column) -> Column:
     return (bits(3) <= 2) & (bits(4) <= 3) & (F.bit_count(diff) <= DISTANCE)
 
 
+def class_links(first: DataFrame) -> DataFrame:
+    """Links between different classes of ``first`` ((k,) fp, c): a, ca, b, cb and the join's key and kb."""
+    by = ["k"] if "k" in first.columns else []
+    kind = lambda key: key + F.shiftleft(F.col("k").cast("long"), 32) if by else key
+    a = first.select(F.col("fp").alias("a"), F.col("c").alias("ca"), *by, F.explode(exact_keys(F.col("fp"))).alias("key"))
+    a = a.select("a", "ca", kind(F.col("key")).alias("key"))
+    b = first.select(F.col("fp").alias("b"), F.col("c").alias("cb"), *by, F.explode(near_keys(F.col("fp"))).alias("kb"))
+    b = b.select("b", "cb", kind(F.col("kb")).alias("kb"))
+    linked = (F.col("key") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    # Both sides look as small as the stored table, and the neighbours are some seventy times its rows.
+    return a.join(b.hint("merge"), linked & within(F.col("a"), F.col("b"), F.col("key")))
+
+
 def classes(fps: DataFrame) -> DataFrame:
     """``fps`` with the class of every fingerprint, ``component``; ``fps`` has distinct rows (fp) or (k, fp).
 
@@ -111,7 +124,6 @@ def classes(fps: DataFrame) -> DataFrame:
     """
     by = ["k"] if "k" in fps.columns else []
     node = lambda c: F.struct("k", F.col(c).alias("fp")) if by else F.col(c)
-    kind = lambda key: key + F.shiftleft(F.col("k").cast("long"), 32) if by else key
     exact = fps.select(*by, "fp", F.explode(exact_keys(F.col("fp"))).alias("key"))
     order = W.partitionBy(*by, "key").orderBy("fp")
     close = exact.withColumn("before", F.array(*[F.lag("fp", k).over(order) for k in range(1, NEAR + 1)]))
@@ -121,12 +133,7 @@ def classes(fps: DataFrame) -> DataFrame:
     own = fps.select(*by, "fp", node("fp").alias("own"))
     first = stored(own.join(first, own["own"] == first["node"], "left").select(*by, "fp", F.coalesce("component", "own").alias("c")), "simhash-first")
 
-    a = first.select(F.col("fp").alias("a"), F.col("c").alias("ca"), *by, F.explode(exact_keys(F.col("fp"))).alias("key"))
-    a = a.select("a", "ca", kind(F.col("key")).alias("key"))
-    b = first.select(F.col("fp").alias("b"), F.col("c").alias("cb"), *by, F.explode(near_keys(F.col("fp"))).alias("kb"))
-    b = b.select("b", "cb", kind(F.col("kb")).alias("kb"))
-    linked = (F.col("key") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-    links = a.join(b, linked & within(F.col("a"), F.col("b"), F.col("key")))
+    links = class_links(first)
     second = connected_components(links.select(F.col("ca").alias("src"), F.col("cb").alias("dst")))
     out = first.join(second, first["c"] == second["node"], "left")
     return out.select(*by, "fp", F.coalesce("component", "c").alias("component"))

@@ -111,3 +111,18 @@ def test_representatives(awkward, nothing, documents, doc_rows, prints):
     out = simhash.representatives(awkward, prints=prints)
     assert out.columns == awkward.columns and sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1, 2, 5, 7, 8]
     assert simhash.representatives(nothing, prints=prints).count() == 0
+
+
+def test_neighbours_of_few_fingerprints_are_not_broadcast(spark):
+    """A fingerprint has 69 neighbours, of which Spark's estimate of the table's size knows nothing."""
+    import contextlib
+    import io
+
+    rows = [(0, 0, 1), (0, 0b1111, 2), (1, 0, 3), (1, 0b111, 4)]
+    for first, want in ((spark.createDataFrame([r[1:] for r in rows[:2]], "fp bigint, c bigint"), {(1, 2)}),
+                        (spark.createDataFrame(rows, "k int, fp bigint, c bigint"), {(1, 2), (3, 4)})):
+        links, out = simhash.class_links(first), io.StringIO()
+        with contextlib.redirect_stdout(out):
+            links.explain()
+        assert "Broadcast" not in out.getvalue()
+        assert {(r.ca, r.cb) for r in links.collect()} == want
